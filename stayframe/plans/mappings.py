@@ -161,3 +161,21 @@ def lineitem_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
 
 
 MAPPINGS = {"events": events_inputs, "lineitem": lineitem_inputs}
+
+# Deterministic stand-in score of the test mappings,
+# prob = floor(1000 * m / (m + scale)) / 1000 with m the first non-NULL vital
+# mean (0 when none); quantised so that tied scores occur.
+SCORE_SCALE = {"events": 50.0, "lineitem": 50000.0}
+
+
+def rule_score(df: DataFrame, cfg: WindowConfig, scale: float, prob: str = "sepsis_prob") -> DataFrame:
+    """Attach a deterministic score computed from a window's vital means."""
+    m = F.coalesce(*[F.col(f"vital_{i}_mean") for i in cfg.vital_items], F.lit(0.0))
+    return df.withColumn(prob, F.floor(F.lit(1000.0) * m / (m + F.lit(scale))) / F.lit(1000.0))
+
+
+def reading_scores(x: Inputs, scale: float) -> DataFrame:
+    """Per-reading scores with the stay's label: ``stay_id, score, sepsis_label``."""
+    v = x.vitals.where(F.col(VALUE).isNotNull())
+    s = v.select(STAY, (F.floor(F.lit(1000.0) * F.col(VALUE) / (F.col(VALUE) + F.lit(scale))) / F.lit(1000.0)).alias("score"))
+    return s.join(x.labels, STAY, "inner")
