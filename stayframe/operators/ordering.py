@@ -47,9 +47,19 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def _range_split(df: DataFrame, by: Sequence[str], order: Sequence[Column], partitions: int | None) -> DataFrame:
+    """Range-partition and tag each row with its partition id, materialised
+    once with a reliable checkpoint (shared ``spark.checkpoint.dir``).
+
+    The partition id is read by two branches (running sums and partition
+    totals); range bounds come from sampling, so two evaluations could
+    disagree.  The checkpoint pins one assignment and cuts the lineage, so a
+    lost executor re-reads the files instead of re-sampling."""
+    from stayframe.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
     n = _partitions(df, partitions)
     keys = [F.col(b).asc() for b in by] + list(order)
-    return df.repartitionByRange(n, *keys).withColumn(_PID, F.spark_partition_id())
+    return df.repartitionByRange(n, *keys).withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
 
 
 def global_prefix(

@@ -35,7 +35,7 @@ def add_lags(
         out = out.withColumn(f"{c}_delta", F.col(c) - F.col(f"{c}_lag1"))
     if window_hours:
         prev = F.lag(order, 1).over(w)
-        out = out.withColumn("gap_windows", F.round((F.col(order) - prev) / F.lit(window_hours)).cast("int"))
+        out = out.withColumn("gap_windows", F.round((F.col(order) - prev) / F.lit(window_hours)))
     return out
 
 
@@ -52,10 +52,12 @@ def missing_trend(
     for f in flags:
         term = F.coalesce(F.col(f), F.lit(0)).cast("int")
         total = term if total is None else total + term
+    # The lag of a count is a float with NULL for the first row (as the
+    # single-machine version's shifted column is).
     return (
         df.withColumn("n_missing_vitals", total)
-        .withColumn("n_missing_vitals_lag1", F.lag("n_missing_vitals", 1).over(w))
-        .withColumn("missing_trend", F.col("n_missing_vitals") - F.col("n_missing_vitals_lag1"))
+        .withColumn("n_missing_vitals_lag1", F.lag("n_missing_vitals", 1).over(w).cast("double"))
+        .withColumn("missing_trend", F.col("n_missing_vitals").cast("double") - F.col("n_missing_vitals_lag1"))
     )
 
 

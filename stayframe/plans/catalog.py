@@ -73,3 +73,4 @@ def gold_doubles(cfg: WindowConfig) -> list[str]:
 # Importing the query modules fills REGISTRY.
 from stayframe.plans import queries_core  # noqa: E402,F401
 from stayframe.plans import queries_eval  # noqa: E402,F401
+from stayframe.plans import queries_features  # noqa: E402,F401
