@@ -141,7 +141,13 @@ def with_mapping(mapping: str, body: str, extra_ctes: str = "", pipeline: bool =
 def rounded(sql: str, double_cols, date_cols=()) -> str:
     """Round the listed double columns of a query's output to 6 places and
     render date columns as ISO text."""
-    reps = [f"round(\"{c}\", 6) AS \"{c}\"" for c in double_cols]
+    # Spark rounds a double half-up on its shortest decimal text; rounding
+    # that text as a DECIMAL gives the same result at exact decimal ties.
+    reps = [
+        f"CASE WHEN isinf(\"{c}\") OR isnan(\"{c}\") THEN \"{c}\" "
+        f"ELSE CAST(round(CAST(CAST(\"{c}\" AS VARCHAR) AS DECIMAL(38, 12)), 6) AS DOUBLE) END AS \"{c}\""
+        for c in double_cols
+    ]
     reps += [f"CAST(\"{c}\" AS VARCHAR) AS \"{c}\"" for c in date_cols]
     if not reps:
         return sql
