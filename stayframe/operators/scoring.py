@@ -77,15 +77,16 @@ def train(
     if split and split in df.columns:
         data = df.where(F.col(split).isin("train", "val")).withColumn("_is_val", F.col(split) == "val")
         val_col = "_is_val"
+    # Additive fill stage: the fitted pipeline scores any frame that carries
+    # the feature columns, whatever else it holds.
+    filled = [f"_filled_{i}" for i in range(len(features))]
     fill = ", ".join(
-        f"CASE WHEN isnan(CAST(`{c}` AS DOUBLE)) OR `{c}` IS NULL THEN {SENTINEL} ELSE CAST(`{c}` AS DOUBLE) END AS `{c}`"
-        for c in features
+        f"CASE WHEN `{c}` IS NULL OR isnan(CAST(`{c}` AS DOUBLE)) THEN {SENTINEL} ELSE CAST(`{c}` AS DOUBLE) END AS `{f}`"
+        for c, f in zip(features, filled)
     )
-    keep = [c for c in data.columns if c not in set(features)]
-    keep_sql = ", ".join(f"`{c}`" for c in keep)
     stages = [
-        SQLTransformer(statement=f"SELECT {keep_sql}, {fill} FROM __THIS__"),
-        VectorAssembler(inputCols=list(features), outputCol="features"),
+        SQLTransformer(statement=f"SELECT *, {fill} FROM __THIS__"),
+        VectorAssembler(inputCols=filled, outputCol="features"),
     ]
     gbt = GBTClassifier(
         featuresCol="features",
@@ -147,9 +148,8 @@ def score(df: DataFrame, model, prob: str = "sepsis_prob") -> DataFrame:
     from pyspark.ml.functions import vector_to_array
 
     out = model.transform(df)
-    drop = [c for c in ("features", "rawPrediction", "probability", "prediction") if c in out.columns]
-    keep = [c for c in df.columns]
-    return out.withColumn(prob, vector_to_array("probability")[1]).select(*keep, prob).drop(*[c for c in drop if c in keep])
+    keep = [c for c in df.columns if c != prob]
+    return out.withColumn(prob, vector_to_array("probability")[1]).select(*keep, prob)
 
 
 def alert(df: DataFrame, threshold: float, prob: str = "sepsis_prob", out: str = "sepsis_alert", stamp: bool = True) -> DataFrame:
