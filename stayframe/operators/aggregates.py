@@ -70,17 +70,18 @@ def vital_aggregates(cfg: WindowConfig) -> list[Column]:
     return out
 
 
-def lab_aggregates(cfg: WindowConfig, tiebreak=(VALUE,)) -> list[Column]:
-    """AGG3: latest non-NULL value per item: ``max_by`` over
-    ``(charttime, tiebreak...)`` — deterministic for equal times, independent
-    of input order (never ``last`` after a sort)."""
+def lab_aggregates(cfg: WindowConfig) -> list[Column]:
+    """AGG3: latest value per item as ``max_by(value, charttime)`` over rows
+    that are already unique per ``(stay, window, item, charttime)`` (see
+    ``lab_windows``), so the choice is deterministic.  Both buffers are
+    fixed-width, which keeps the aggregate a hash aggregate with map-side
+    partials (a struct ordering key would force a sort aggregate)."""
     out = []
     for i in cfg.lab_items:
         is_item = F.col(ITEM) == F.lit(i)
         v = F.when(is_item, F.col(VALUE))
-        key = F.when(is_item, F.struct(F.col(TIME), *[F.col(t) for t in tiebreak]))
         out += [
-            F.max_by(v, key).alias(f"lab_{i}_last"),
+            F.max_by(v, F.when(is_item, F.col(TIME))).alias(f"lab_{i}_last"),
             missing_flag(v).alias(f"lab_{i}_missing"),
         ]
     return out
@@ -137,10 +138,18 @@ def pivot_windows(vitals: DataFrame, stays: DataFrame, cfg: WindowConfig) -> Dat
     return window_bounds(out, cfg).select(STAY, WINDOW, "window_end", *cfg.vital_columns(), "window_date")
 
 
-def lab_windows(labs: DataFrame, stays: DataFrame, cfg: WindowConfig, tiebreak=(VALUE,)) -> DataFrame:
-    """AGG3 + AGG4 for labs: ``stay_id, window_id`` + (last, missing) per item."""
+def lab_windows(labs: DataFrame, stays: DataFrame, cfg: WindowConfig) -> DataFrame:
+    """AGG3 + AGG4 for labs: ``stay_id, window_id`` + (last, missing) per item.
+
+    Latest value = the non-NULL reading with the greatest time; readings of
+    one item at the same time resolve to the larger value, on every run and
+    input order.  Two hash aggregations: equal-time readings collapse first
+    (keyed by stay, window, item and time, so a hot stay-window spreads over
+    many tasks), then ``max_by`` per window with map-side partials.
+    """
     w = windowed_labs(labs, stays, cfg)
-    return w.groupBy(STAY, WINDOW).agg(*lab_aggregates(cfg, tiebreak))
+    at_time = w.groupBy(STAY, WINDOW, ITEM, TIME).agg(F.max(VALUE).alias(VALUE))
+    return at_time.groupBy(STAY, WINDOW).agg(*lab_aggregates(cfg))
 
 
 def one_per_key(df: DataFrame, key: str = STAY, value: str = LABEL) -> DataFrame:

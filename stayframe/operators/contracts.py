@@ -44,10 +44,7 @@ def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def fill_flags(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """PRJ4: NULL -> default for flag/label columns (e.g. ``lab_*_missing``
     -> 1 when the window had no lab row at all, label -> 0)."""
-    out = df
-    for c, v in defaults.items():
-        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType)))
-    return out
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType)) for c, v in defaults.items()})
 
 
 def gold_bound_rules(columns: Sequence[str]) -> dict:

@@ -46,10 +46,9 @@ def attach_labs(silver: DataFrame, lab_windows: DataFrame, keys: Sequence[str] =
 
 def attach_labels(df: DataFrame, labels: DataFrame, key: str = STAY, label: str = LABEL) -> DataFrame:
     """JON6: left join of the per-stay label, plus ``label_known``."""
-    lab = labels.select(key, F.col(label).alias("_label"))
-    return df.join(lab, key, "left").withColumn("label_known", F.col("_label").isNotNull()).withColumnRenamed(
-        "_label", label
-    )
+    lab = labels.select(key, F.col(label).alias(label), F.lit(True).alias("label_known"))
+    j = df.join(lab, key, "left")
+    return j.withColumns({"label_known": F.coalesce(F.col("label_known"), F.lit(False))})
 
 
 def attach_patients(

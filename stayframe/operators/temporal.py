@@ -29,14 +29,15 @@ def add_lags(
     ``window_hours`` also ``gap_windows``: how many windows back that
     previous row lies (sparse tables skip empty windows)."""
     w = Window.partitionBy(key).orderBy(F.col(order).asc())
-    out = df
+    new = {}
     for c in cols:
-        out = out.withColumn(f"{c}_lag1", F.lag(c, 1).over(w))
-        out = out.withColumn(f"{c}_delta", F.col(c) - F.col(f"{c}_lag1"))
+        prev = F.lag(c, 1).over(w)
+        new[f"{c}_lag1"] = prev
+        new[f"{c}_delta"] = F.col(c) - prev
     if window_hours:
         prev = F.lag(order, 1).over(w)
-        out = out.withColumn("gap_windows", F.round((F.col(order) - prev) / F.lit(window_hours)))
-    return out
+        new["gap_windows"] = F.round((F.col(order) - prev) / F.lit(window_hours))
+    return df.withColumns(new)
 
 
 def missing_trend(
@@ -54,10 +55,9 @@ def missing_trend(
         total = term if total is None else total + term
     # The lag of a count is a float with NULL for the first row (as the
     # single-machine version's shifted column is).
-    return (
-        df.withColumn("n_missing_vitals", total)
-        .withColumn("n_missing_vitals_lag1", F.lag("n_missing_vitals", 1).over(w).cast("double"))
-        .withColumn("missing_trend", F.col("n_missing_vitals").cast("double") - F.col("n_missing_vitals_lag1"))
+    prev = F.lag(total, 1).over(w).cast("double")
+    return df.withColumns(
+        {"n_missing_vitals": total, "n_missing_vitals_lag1": prev, "missing_trend": total.cast("double") - prev}
     )
 
 
@@ -75,11 +75,11 @@ def lags_from_previous(
     """
     m = F.col(map_col)
     has_prev = m.isNotNull() & (F.size(m) > 0)
-    out = df
+    new = {}
     for c in cfg.lag_base_columns():
         prev = F.when(has_prev, F.try_element_at(m, F.lit(c)))
-        out = out.withColumn(f"{c}_lag1", prev)
-        out = out.withColumn(f"{c}_delta", F.col(c) - F.col(f"{c}_lag1"))
+        new[f"{c}_lag1"] = prev
+        new[f"{c}_delta"] = F.col(c) - prev
     total = None
     prev_total = None
     for f in cfg.vital_missing_columns():
@@ -87,11 +87,9 @@ def lags_from_previous(
         was = F.when(F.try_element_at(m, F.lit(f)) == 1.0, F.lit(1.0)).otherwise(F.lit(0.0))
         total = cur if total is None else total + cur
         prev_total = was if prev_total is None else prev_total + was
-    return (
-        out.withColumn("n_missing_vitals", total)
-        .withColumn("n_missing_vitals_lag1", F.when(has_prev, prev_total))
-        .withColumn("missing_trend", F.col("n_missing_vitals") - F.col("n_missing_vitals_lag1"))
-    )
+    lag_total = F.when(has_prev, prev_total)
+    new.update({"n_missing_vitals": total, "n_missing_vitals_lag1": lag_total, "missing_trend": total - lag_total})
+    return df.withColumns(new)
 
 
 def previous_window_map(df: DataFrame, cfg: WindowConfig, key: str = STAY, order: str = "icu_hours_elapsed") -> DataFrame:

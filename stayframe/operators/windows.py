@@ -32,11 +32,10 @@ def window_bounds(df: DataFrame, cfg: WindowConfig, start: str = INTIME, with_st
     ``window_date`` partition key (date of the window end)."""
     w = int(cfg.window_seconds)
     i = F.col(WINDOW).cast("long")
-    out = df
-    if with_start:
-        out = out.withColumn("window_start", add_seconds(start, i * F.lit(w)))
-    out = out.withColumn("window_end", add_seconds(start, (i + F.lit(1)) * F.lit(w)))
-    return out.withColumn("window_date", F.to_date("window_end"))
+    end = add_seconds(start, (i + F.lit(1)) * F.lit(w))
+    cols = {"window_start": add_seconds(start, i * F.lit(w))} if with_start else {}
+    cols.update({"window_end": end, "window_date": F.to_date(end)})
+    return df.withColumns(cols)
 
 
 def window_grid(cohort: DataFrame, cfg: WindowConfig) -> DataFrame:
@@ -68,16 +67,12 @@ def temporal_attributes(df: DataFrame, cfg: WindowConfig, elapsed_at: str = "end
         hours = i * F.lit(w_h) + F.lit(w_h / 2.0)
     else:
         raise ValueError("elapsed_at must be 'end' or 'mid'")
-    return df.withColumn("icu_hours_elapsed", hours).withColumn(
-        "time_of_day", F.hour("window_end").cast("int")
-    )
+    return df.withColumns({"icu_hours_elapsed": hours, "time_of_day": F.hour("window_end").cast("int")})
 
 
 def calendar_parts(df: DataFrame, column: str = INTIME, prefix: str = "admit") -> DataFrame:
     """WIN6: hour of day and English day name of a timestamp."""
-    return df.withColumn(f"{prefix}_hour", F.hour(column).cast("int")).withColumn(
-        f"{prefix}_dow", F.date_format(column, "EEEE")
-    )
+    return df.withColumns({f"{prefix}_hour": F.hour(column).cast("int"), f"{prefix}_dow": F.date_format(column, "EEEE")})
 
 
 def replay_schedule(

@@ -84,7 +84,12 @@ class Inputs:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
-    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", columns=columns)
+    return read_table(
+        spark,
+        f"{sf_dir.rstrip('/')}/{name}.parquet",
+        columns=columns,
+        min_partitions=spark.sparkContext.defaultParallelism,
+    )
 
 
 def patients_from_customer(spark: SparkSession, sf_dir: str) -> DataFrame:

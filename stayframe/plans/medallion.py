@@ -36,7 +36,7 @@ def gold_table(
     j = attach_labels(attach_labs(silver, labw), labels)
     defaults = {f"lab_{i}_missing": 1 for i in cfg.lab_items}
     defaults[LABEL] = 0
-    j = fill_flags(j.withColumn(LABEL, F.col(LABEL).cast("int")), defaults)
+    j = fill_flags(j, defaults)
     j = temporal_attributes(j, cfg, elapsed_at)
     cols = cfg.gold_columns()
     if keep_window:
@@ -66,9 +66,9 @@ def batch_matrix(
     m = join_blocks(fill_grid(grid, v), lw, how="left")
     defaults = {f"vital_{i}_missing": 1 for i in cfg.vital_items}
     defaults.update({f"lab_{i}_missing": 1 for i in cfg.lab_items})
-    m = fill_flags(m, defaults)
     m = attach_labels(m, labels)
-    m = fill_flags(m.withColumn(LABEL, F.col(LABEL).cast("int")), {LABEL: 0})
+    defaults[LABEL] = 0
+    m = fill_flags(m, defaults)
     m = temporal_attributes(m, cfg, elapsed_at)
     cols = cfg.gold_columns()
     return assert_contract(project(m, cols), cols, exact=True)

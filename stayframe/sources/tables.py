@@ -23,8 +23,16 @@ def read_table(
     columns: Sequence[str] | None = None,
     schema: StructType | str | None = None,
     options: dict | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
-    """Load a table and project it (SRC5 / SRC8)."""
+    """Load a table and project it (SRC5 / SRC8).
+
+    ``min_partitions``: when the file layout yields fewer input splits than
+    this (one row group, an unsplittable file) and the input is bigger than
+    Spark's small-file cost (``spark.sql.files.openCostInBytes``), spread
+    the rows round-robin so the first stage uses every core.  Large inputs
+    split into many more partitions and are left exactly as scanned (no
+    extra shuffle); small ones stay whole (they are broadcast or cheap)."""
     reader = spark.read.format(format)
     if schema is not None:
         reader = reader.schema(schema)
@@ -33,6 +41,11 @@ def read_table(
     df = reader.load(path)
     if columns:
         df = df.select(*columns)
+    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+        small = int(spark.conf.get("spark.sql.files.openCostInBytes", "4194304").rstrip("b"))
+        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        if est > small:
+            df = df.repartition(int(min_partitions))
     return df
 
 
