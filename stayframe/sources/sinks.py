@@ -1,9 +1,10 @@
 """Batch sinks and read-back checks (SNK1, SNK2, SNK3, SNK5).
 
-Date-partitioned writes hash-repartition on the partition column first, so
-each date directory is written by one task: no small-file explosion and no
-task holding an open writer per date (the cause of the driver running out of
-memory with thousands of output partitions).
+Date-partitioned writes are rebalanced on the partition column first, so each
+date directory is written by one or a few tasks: no small-file explosion and
+no task holding an open writer per date (the cause of the driver running out
+of memory with thousands of output partitions), and AQE splits a date that
+holds too many rows across several writers.
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ def write_table(
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     writer_df = df
     if parts:
-        # One task per partition value; AQE splits a date that is too big.
-        writer_df = df.repartition(*[F.col(p) for p in parts])
+        # Rows of one partition value go to few tasks (few files per date);
+        # AQE splits a value that holds too many rows and merges small ones,
+        # so a hot date never lands in one writer.
+        writer_df = df.hint("rebalance", *parts)
     w = writer_df.write.format(format).mode(mode)
     if format == "parquet":
         w = w.option("compression", "zstd")
