@@ -509,3 +509,70 @@ register(
 )(_agg13)
 
 _ = (ITEM, VALUE, window_bounds, THRESHOLD)
+
+
+# JON3 / JON5 / JON6 ----------------------------------------------------------
+def _jon3(spark, sf_dir):
+    from stayframe.operators.joins import fill_grid
+    from stayframe.operators.windows import window_grid
+
+    x = inputs(spark, sf_dir, "lineitem")
+    grid = window_grid(x.stays, x.cfg).select(STAY, WINDOW)
+    v = vitals_by_window(x.vitals, x.stays, x.cfg).select(
+        STAY, WINDOW, *[f"vital_{i}_mean" for i in x.cfg.vital_items], *x.cfg.vital_missing_columns()
+    )
+    return fill_grid(grid, v)
+
+
+def _jon3_sql():
+    n = (
+        "greatest(1, coalesce(CAST(floor(datediff('microsecond', intime, outtime) / "
+        f"{LINEITEM_CFG.window_micros}.0) AS BIGINT), 1))"
+    )
+    cols = [f"v.vital_{i}_mean" for i in LINEITEM_CFG.vital_items] + [f"v.{c}" for c in LINEITEM_CFG.vital_missing_columns()]
+    return Q.with_mapping(
+        "lineitem",
+        f"""SELECT g.stay_id, g.window_id, {', '.join(cols)}
+FROM grid g LEFT JOIN vagg v ON g.stay_id = v.stay_id AND g.window_id = v.window_id""",
+        f"grid AS (SELECT stay_id, CAST(unnest(range(0, {n})) AS INTEGER) AS window_id FROM stays)",
+    )
+
+
+register("JON3_fill_grid_lineitem", _jon3_sql(), [f"vital_{i}_mean" for i in LINEITEM_CFG.vital_items])(_jon3)
+
+
+def _jon5(spark, sf_dir):
+    x = inputs(spark, sf_dir, "events")
+    s = silver_windows(x.vitals, x.stays, x.cfg).select(STAY, WINDOW, "window_end")
+    return attach_labs(s, lab_windows(x.labs, x.stays, x.cfg))
+
+
+_jon5_cols = [c for i in EVENTS_CFG.lab_items for c in (f"lab_{i}_last", f"lab_{i}_missing")]
+register(
+    "JON5_attach_labs_events",
+    Q.with_mapping(
+        "events",
+        f"""SELECT s.stay_id, s.window_id, s.window_end, {', '.join('lw.' + c for c in _jon5_cols)}
+FROM silver s LEFT JOIN labw lw ON s.stay_id = lw.stay_id AND s.window_id = lw.window_id""",
+    ),
+    [f"lab_{i}_last" for i in EVENTS_CFG.lab_items],
+)(_jon5)
+
+
+def _jon6(spark, sf_dir):
+    from stayframe.operators.joins import attach_labels
+
+    x = inputs(spark, sf_dir, "events")
+    s = silver_windows(x.vitals, x.stays, x.cfg).select(STAY, WINDOW)
+    known = x.labels.where(F.col(STAY) % 3 != 0)
+    return attach_labels(s, known)
+
+
+register(
+    "JON6_attach_labels_events",
+    Q.with_mapping(
+        "events",
+        """SELECT s.stay_id, s.window_id, lb.sepsis_label, lb.stay_id IS NOT NULL AS label_known
+FROM silver s LEFT JOIN (SELECT * FROM labels WHERE stay_id % 3 <> 0) lb ON s.stay_id = lb.stay_id""",
+    ),
+)(_jon6)
