@@ -19,8 +19,6 @@ work grows with them.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,14 +71,43 @@ LINEITEM_CFG = WindowConfig(
 )
 
 
-@dataclass
 class Inputs:
-    stays: DataFrame  # stay_id, hadm_id, subject_id, intime, outtime
-    vitals: DataFrame  # stay_id, charttime, itemid, valuenum
-    labs: DataFrame  # hadm_id, charttime, itemid, valuenum
-    labels: DataFrame  # stay_id, sepsis_label
-    patients: DataFrame  # subject_id, anchor_age
-    cfg: WindowConfig
+    """Role tables of a mapping, each built on first use (a query plans only
+    the tables it reads):
+
+    * ``stays``: stay_id, hadm_id, subject_id, intime, outtime
+    * ``vitals``: stay_id, charttime, itemid, valuenum
+    * ``labs``: hadm_id, charttime, itemid, valuenum
+    * ``labels``: stay_id, sepsis_label
+    * ``patients``: subject_id, anchor_age
+    """
+
+    ROLES = ("stays", "vitals", "labs", "labels", "patients")
+
+    def __init__(self, cfg: WindowConfig, **builders):
+        self.cfg = cfg
+        self._builders = builders
+        self._built: dict = {}
+
+    def __getattr__(self, name: str):
+        builders = self.__dict__.get("_builders", {})
+        if name not in builders:
+            raise AttributeError(name)
+        if name not in self._built:
+            self._built[name] = builders[name]()
+        return self._built[name]
+
+
+def _once(fn):
+    """Memoise a zero-argument builder."""
+    box: list = []
+
+    def get():
+        if not box:
+            box.append(fn())
+        return box[0]
+
+    return get
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
@@ -99,70 +126,97 @@ def patients_from_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    ev = table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
-    per_user = ev.groupBy("user_id").agg(
-        F.min("ts").alias("_first"),
-        F.max("ts").alias("_last"),
-        F.max(F.when((F.col("event_type") == "error") & (F.col("value") > EVENTS_LABEL_THRESHOLD), 1).otherwise(0)).alias(
-            LABEL
-        ),
-    )
-    stays = per_user.select(
-        F.col("user_id").alias(STAY),
-        F.floor(F.col("user_id") / 2).cast("long").alias(ADMISSION),
-        F.col("user_id").alias(SUBJECT),
-        add_seconds(truncate_hour("_first"), EVENTS_START_OFFSET_HOURS * 3600).alias(INTIME),
-        F.col("_last").alias(OUTTIME),
-    )
-    labels = per_user.select(F.col("user_id").alias(STAY), F.col(LABEL).cast("int").alias(LABEL))
-    vitals = ev.where(F.col("event_type").isin(*EVENTS_VITALS)).select(
-        F.col("user_id").alias(STAY), F.col("ts").alias(TIME), F.col("event_type").alias(ITEM), F.col("value").alias(VALUE)
-    )
-    labs = ev.where(F.col("event_type").isin(*EVENTS_LABS)).select(
-        F.floor(F.col("user_id") / 2).cast("long").alias(ADMISSION),
-        F.col("ts").alias(TIME),
-        F.col("event_type").alias(ITEM),
-        F.col("value").alias(VALUE),
+    ev = _once(lambda: table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"]))
+
+    @_once
+    def per_user():
+        err = (F.col("event_type") == "error") & (F.col("value") > EVENTS_LABEL_THRESHOLD)
+        return ev().groupBy("user_id").agg(
+            F.min("ts").alias("_first"),
+            F.max("ts").alias("_last"),
+            F.max(F.when(err, 1).otherwise(0)).alias(LABEL),
+        )
+
+    def stays():
+        return per_user().select(
+            F.col("user_id").alias(STAY),
+            F.floor(F.col("user_id") / 2).cast("long").alias(ADMISSION),
+            F.col("user_id").alias(SUBJECT),
+            add_seconds(truncate_hour("_first"), EVENTS_START_OFFSET_HOURS * 3600).alias(INTIME),
+            F.col("_last").alias(OUTTIME),
+        )
+
+    def labels():
+        return per_user().select(F.col("user_id").alias(STAY), F.col(LABEL).cast("int").alias(LABEL))
+
+    def vitals():
+        return ev().where(F.col("event_type").isin(*EVENTS_VITALS)).select(
+            F.col("user_id").alias(STAY), F.col("ts").alias(TIME), F.col("event_type").alias(ITEM), F.col("value").alias(VALUE)
+        )
+
+    def labs():
+        return ev().where(F.col("event_type").isin(*EVENTS_LABS)).select(
+            F.floor(F.col("user_id") / 2).cast("long").alias(ADMISSION),
+            F.col("ts").alias(TIME),
+            F.col("event_type").alias(ITEM),
+            F.col("value").alias(VALUE),
+        )
+
+    return Inputs(
+        EVENTS_CFG, stays=stays, vitals=vitals, labs=labs, labels=labels,
+        patients=lambda: patients_from_customer(spark, sf_dir),
     )
-    return Inputs(stays, vitals, labs, labels, patients_from_customer(spark, sf_dir), EVENTS_CFG)
 
 
 def lineitem_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    o = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
-    li = table(
-        spark,
-        sf_dir,
-        "lineitem",
-        ["l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"],
-    )
-    stays = o.select(
-        F.col("o_orderkey").alias(STAY),
-        F.col("o_custkey").alias(ADMISSION),
-        F.col("o_custkey").alias(SUBJECT),
-        F.col("o_orderdate").alias(INTIME),
-        add_seconds("o_orderdate", ORDERS_STAY_DAYS * 86400).alias(OUTTIME),
-    )
-    labels = o.select(
-        F.col("o_orderkey").alias(STAY),
-        F.when(F.substring("o_orderpriority", 1, 1).isin(*ORDERS_LABEL_PREFIXES), 1).otherwise(0).cast("int").alias(LABEL),
-    )
-    vitals = li.select(
-        F.col("l_orderkey").alias(STAY),
-        F.col("l_shipdate").alias(TIME),
-        F.concat("l_returnflag", "l_linestatus").alias(ITEM),
-        F.col("l_extendedprice").alias(VALUE),
+    o = _once(lambda: table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"]))
+    li = _once(
+        lambda: table(
+            spark,
+            sf_dir,
+            "lineitem",
+            ["l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"],
+        )
     )
-    labs = (
-        li.where(F.col("l_linenumber").isin(*LINEITEM_LABS))
-        .join(o.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey", "inner")
-        .select(
+
+    def stays():
+        return o().select(
+            F.col("o_orderkey").alias(STAY),
             F.col("o_custkey").alias(ADMISSION),
+            F.col("o_custkey").alias(SUBJECT),
+            F.col("o_orderdate").alias(INTIME),
+            add_seconds("o_orderdate", ORDERS_STAY_DAYS * 86400).alias(OUTTIME),
+        )
+
+    def labels():
+        positive = F.substring("o_orderpriority", 1, 1).isin(*ORDERS_LABEL_PREFIXES)
+        return o().select(F.col("o_orderkey").alias(STAY), F.when(positive, 1).otherwise(0).cast("int").alias(LABEL))
+
+    def vitals():
+        return li().select(
+            F.col("l_orderkey").alias(STAY),
             F.col("l_shipdate").alias(TIME),
-            F.col("l_linenumber").alias(ITEM),
+            F.concat("l_returnflag", "l_linestatus").alias(ITEM),
             F.col("l_extendedprice").alias(VALUE),
         )
+
+    def labs():
+        return (
+            li()
+            .where(F.col("l_linenumber").isin(*LINEITEM_LABS))
+            .join(o().select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey", "inner")
+            .select(
+                F.col("o_custkey").alias(ADMISSION),
+                F.col("l_shipdate").alias(TIME),
+                F.col("l_linenumber").alias(ITEM),
+                F.col("l_extendedprice").alias(VALUE),
+            )
+        )
+
+    return Inputs(
+        LINEITEM_CFG, stays=stays, vitals=vitals, labs=labs, labels=labels,
+        patients=lambda: patients_from_customer(spark, sf_dir),
     )
-    return Inputs(stays, vitals, labs, labels, patients_from_customer(spark, sf_dir), LINEITEM_CFG)
 
 
 MAPPINGS = {"events": events_inputs, "lineitem": lineitem_inputs}

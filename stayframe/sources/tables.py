@@ -41,10 +41,14 @@ def read_table(
     df = reader.load(path)
     if columns:
         df = df.select(*columns)
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+    if min_partitions:
+        try:
+            splits = df.rdd.getNumPartitions()
+            est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        except Exception:  # sessions without RDD / JVM access: leave the scan as is
+            return df
         small = int(spark.conf.get("spark.sql.files.openCostInBytes", "4194304").rstrip("b"))
-        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        if est > small:
+        if splits < min_partitions and est > small:
             df = df.repartition(int(min_partitions))
     return df
 
