@@ -29,10 +29,27 @@ def _col(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+MAX_RANGE_PARTITIONS = 100_000
+
+
 def _partitions(df: DataFrame, partitions: int | None) -> int:
+    """Range partitions for ordering ``df``: at least the shuffle partition
+    count, more when the planner's size estimate says each would exceed the
+    advisory partition size (64 MB by default), so a task never sorts more
+    than about that much however large the input grows."""
     if partitions:
         return int(partitions)
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    conf = df.sparkSession.conf
+    base = max(1, int(conf.get("spark.sql.shuffle.partitions")))
+    target = conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+    m = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    t = target.strip().lower().rstrip("b")
+    target_bytes = int(float(t[:-1]) * m[t[-1]]) if t and t[-1] in m else int(t or 64 << 20)
+    try:
+        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return base
+    return int(min(MAX_RANGE_PARTITIONS, max(base, est // max(target_bytes, 1) + 1)))
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
