@@ -19,31 +19,50 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayframe.config import LABEL
 from stayframe.functions import safe_div
-from stayframe.operators.ordering import global_prefix, union_parts, with_scalars
+from stayframe.operators.ordering import global_prefix, union_parts
 
 
-def score_histogram(df: DataFrame, score: str = "score", label: str = LABEL, by: Sequence[str] = ()) -> DataFrame:
-    return df.groupBy(*by, score).agg(
-        F.count_if(F.col(label) == 1).alias("pos"),
-        F.count_if(F.col(label) == 0).alias("neg"),
-    )
+def score_histogram(
+    df: DataFrame,
+    score: str = "score",
+    label: str = LABEL,
+    by: Sequence[str] = (),
+    alert: Column | None = None,
+) -> DataFrame:
+    """Counts per distinct score: ``pos``, ``neg`` and, with an ``alert``
+    condition, the alerted ``pos_alert``, ``neg_alert`` (so threshold metrics
+    come from the same pass as the ranking metrics)."""
+    pos = F.col(label) == 1
+    neg = F.col(label) == 0
+    aggs = [F.count_if(pos).alias("pos"), F.count_if(neg).alias("neg")]
+    if alert is not None:
+        aggs += [F.count_if(pos & alert).alias("pos_alert"), F.count_if(neg & alert).alias("neg_alert")]
+    return df.groupBy(*by, score).agg(*aggs)
 
 
-def cumulative_counts(df: DataFrame, score: str = "score", label: str = LABEL, by: Sequence[str] = ()) -> DataFrame:
+def cumulative_counts(
+    df: DataFrame,
+    score: str = "score",
+    label: str = LABEL,
+    by: Sequence[str] = (),
+    alert: Column | None = None,
+) -> DataFrame:
     """Per distinct score (descending): pos, neg, tp = positives with score
-    >= s, fp likewise, and group totals P, N."""
-    h = score_histogram(df, score, label, by)
+    >= s, fp likewise, and group totals P, N (plus alerted counts)."""
+    h = score_histogram(df, score, label, by, alert)
     c = global_prefix(h, [F.col(score).desc()], ["pos", "neg"], by, totals=True)
+    extra = ["pos_alert", "neg_alert"] if alert is not None else []
     return c.select(
         *by,
         score,
         "pos",
         "neg",
+        *extra,
         F.col("pos_cum").alias("tp"),
         F.col("neg_cum").alias("fp"),
         F.col("pos_total").alias("P"),
@@ -51,27 +70,74 @@ def cumulative_counts(df: DataFrame, score: str = "score", label: str = LABEL, b
     )
 
 
-def ranking_metrics(df: DataFrame, score: str = "score", label: str = LABEL, by: Sequence[str] = ()) -> DataFrame:
-    """EVL2 + EVL3: ``n_pos, n_neg, auroc, auprc`` per group."""
-    c = cumulative_counts(df, score, label, by)
+def _ranking_aggs() -> list[Column]:
     auc_term = F.col("neg").cast("double") * (
         (F.col("tp") - F.col("pos")).cast("double") + F.col("pos").cast("double") / F.lit(2.0)
     )
     ap_term = F.col("pos").cast("double") * safe_div("tp", F.col("tp") + F.col("fp"))
-    agg = c.groupBy(*by).agg(
+    return [
         F.sum("pos").alias("n_pos"),
         F.sum("neg").alias("n_neg"),
         F.sum(auc_term).alias("_auc"),
         F.sum(ap_term).alias("_ap"),
+    ]
+
+
+def _ranking_cols() -> list[Column]:
+    both = (F.col("n_pos") > 0) & (F.col("n_neg") > 0)
+    return [
+        F.when(both, safe_div("_auc", F.col("n_pos") * F.col("n_neg"))).alias("auroc"),
+        F.when(both, safe_div("_ap", "n_pos")).alias("auprc"),
+    ]
+
+
+def ranking_metrics(df: DataFrame, score: str = "score", label: str = LABEL, by: Sequence[str] = ()) -> DataFrame:
+    """EVL2 + EVL3: ``n_pos, n_neg, auroc, auprc`` per group."""
+    c = cumulative_counts(df, score, label, by)
+    return c.groupBy(*by).agg(*_ranking_aggs()).select(*by, "n_pos", "n_neg", *_ranking_cols())
+
+
+def report_metrics(
+    df: DataFrame,
+    score: str = "score",
+    label: str = LABEL,
+    by: Sequence[str] = (),
+    threshold: float | None = None,
+    alert: str | None = None,
+) -> DataFrame:
+    """Ranking and threshold metrics per group from ONE pass over the rows:
+    the score histogram carries alerted counts, so nothing upstream is
+    evaluated twice.  Alert = ``alert == 1`` or ``score >= threshold``.
+
+    Columns: ``n, n_pos, n_neg, auroc, auprc, tp, fp, tn, fn, precision,
+    recall, f1, alert_rate``; zero divisions in the threshold metrics are 0.
+    """
+    cond = (F.col(alert) == 1) if alert else (F.col(score) >= F.lit(float(threshold)))
+    c = cumulative_counts(df, score, label, by, cond)
+    agg = c.groupBy(*by).agg(
+        *_ranking_aggs(), F.sum("pos_alert").alias("tp"), F.sum("neg_alert").alias("fp")
     )
+
+    def zdiv(num, den):
+        return F.coalesce(safe_div(num, den), F.lit(0.0))
+
+    n = F.col("n_pos") + F.col("n_neg")
+    fn = F.col("n_pos") - F.col("tp")
+    tn = F.col("n_neg") - F.col("fp")
     return agg.select(
         *by,
+        n.alias("n"),
         "n_pos",
         "n_neg",
-        F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0), safe_div("_auc", F.col("n_pos") * F.col("n_neg"))).alias(
-            "auroc"
-        ),
-        F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0), safe_div("_ap", "n_pos")).alias("auprc"),
+        *_ranking_cols(),
+        "tp",
+        "fp",
+        tn.alias("tn"),
+        fn.alias("fn"),
+        zdiv("tp", F.col("tp") + F.col("fp")).alias("precision"),
+        zdiv("tp", F.col("n_pos")).alias("recall"),
+        zdiv(F.lit(2) * F.col("tp"), F.lit(2) * F.col("tp") + F.col("fp") + fn).alias("f1"),
+        zdiv(F.col("tp") + F.col("fp"), n).alias("alert_rate"),
     )
 
 
@@ -162,9 +228,7 @@ def recall_at(df: DataFrame, threshold: float, score: str = "score", label: str
 def metrics_table(df: DataFrame, threshold: float, score: str = "score", label: str = LABEL) -> DataFrame:
     """EVL6: ``(metric, value)`` rows: AUROC, AUPRC, precision/recall/F1 at
     the threshold, the threshold, and the class composition."""
-    r = ranking_metrics(df, score, label)
-    t = at_threshold(df, threshold, score, label)
-    both = with_scalars(r, t)
+    both = report_metrics(df, score, label, threshold=threshold)
     n_total = F.col("n_pos") + F.col("n_neg")
     pairs = [
         ("auroc", F.col("auroc")),

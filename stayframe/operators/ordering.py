@@ -29,27 +29,16 @@ def _col(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-MAX_RANGE_PARTITIONS = 100_000
-
-
-def _partitions(df: DataFrame, partitions: int | None) -> int:
-    """Range partitions for ordering ``df``: at least the shuffle partition
-    count, more when the planner's size estimate says each would exceed the
-    advisory partition size (64 MB by default), so a task never sorts more
-    than about that much however large the input grows."""
-    if partitions:
-        return int(partitions)
-    conf = df.sparkSession.conf
-    base = max(1, int(conf.get("spark.sql.shuffle.partitions")))
-    target = conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
-    m = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    t = target.strip().lower().rstrip("b")
-    target_bytes = int(float(t[:-1]) * m[t[-1]]) if t and t[-1] in m else int(t or 64 << 20)
-    try:
-        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return base
-    return int(min(MAX_RANGE_PARTITIONS, max(base, est // max(target_bytes, 1) + 1)))
+def _partitions(df: DataFrame, partitions: int | None) -> int | None:
+    """Explicit range-partition count, or None to let AQE size it: the range
+    exchange then starts from ``spark.sql.adaptive.coalescePartitions.
+    initialPartitionNum`` (or the shuffle partition count) and AQE merges
+    adjacent ranges up to the advisory partition size.  Merged ranges stay
+    contiguous and in key order, which is all the prefix sum relies on; set
+    the initial number high on a large cluster so no range exceeds a task's
+    memory.  (Planner size estimates are not used: without statistics a join
+    is estimated as the product of its inputs.)"""
+    return int(partitions) if partitions else None
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -76,7 +65,8 @@ def _range_split(df: DataFrame, by: Sequence[str], order: Sequence[Column], part
     checkpoint_dir(df.sparkSession)
     n = _partitions(df, partitions)
     keys = [F.col(b).asc() for b in by] + list(order)
-    return df.repartitionByRange(n, *keys).withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
+    ranged = df.repartitionByRange(n, *keys) if n else df.repartitionByRange(*keys)
+    return ranged.withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
 
 
 def global_prefix(

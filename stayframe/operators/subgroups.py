@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from stayframe.config import LABEL
 from stayframe.functions import right_closed_bucket, safe_div
-from stayframe.operators.metrics import at_threshold, ranking_metrics
+from stayframe.operators.metrics import report_metrics
 
 # Bucket edges (right-closed intervals) and labels of the
 # subgroup report, in report order.
@@ -65,10 +65,8 @@ def subgroup_report(
     auprc, recall, precision, alert_rate`` (numeric; see
     ``format_report`` for the percentage text view)."""
     m = subgroup_membership(df.select(prob, label, alert, age, elapsed, hour), age, elapsed, hour)
-    rank = ranking_metrics(m, prob, label, ["subgroup"])
-    thr = at_threshold(m, threshold, prob, label, ["subgroup"], alert=alert)
-    j = thr.join(rank, "subgroup", "inner")
-    positives = F.col("tp") + F.col("fn")
+    j = report_metrics(m, prob, label, ["subgroup"], alert=alert)
+    positives = F.col("n_pos")
     order = F.array_position(F.array(*[F.lit(x) for x in REPORT_ORDER]), F.col("subgroup")).cast("int")
     out = j.where((F.col("n") >= min_rows) & (positives >= min_positives)).select(
         "subgroup",

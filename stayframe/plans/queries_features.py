@@ -145,8 +145,8 @@ register(
     "ORD1_global_prefix_orders",
     """SELECT o_orderkey, o_orderdate,
        row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS position,
-       sum(CAST(round(o_totalprice * 100) AS BIGINT)) OVER (ORDER BY o_orderdate, o_orderkey
-           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_cents
+       CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) OVER (ORDER BY o_orderdate, o_orderkey
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_cents
 FROM orders""",
 )(_ord1)
 
