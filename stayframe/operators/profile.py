@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayframe.config import INTIME, ITEM, LABEL, STAY, SUBJECT, TIME
+from stayframe.config import ITEM, LABEL, SUBJECT, TIME
 from stayframe.functions import safe_div
 from stayframe.operators.ordering import global_rank, with_scalars
 
@@ -182,6 +182,3 @@ def item_profile(df: DataFrame, item: str = ITEM, time: str = TIME) -> DataFrame
     )
     n_items = per.agg(F.count(F.lit(1)).alias("n_items"))
     return with_scalars(per, n_items)
-
-
-_ = (STAY, INTIME)

@@ -6,7 +6,6 @@ Catalyst plan per table, no eager counts in between.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from stayframe.config import LABEL, STAY, WINDOW, WindowConfig
 from stayframe.operators.aggregates import lab_windows, silver_windows, vitals_by_window

@@ -3,8 +3,6 @@ JON1-JON6, WIN2-WIN5, PRJ1, PRJ2, PRJ4, FLT1-FLT3)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from stayframe.config import LABEL, STAY, WINDOW
 from stayframe.operators.aggregates import (
     lab_windows,
@@ -160,5 +158,3 @@ register(
     "AGG6_one_per_key_lineitem",
     Q.with_mapping("lineitem", "SELECT stay_id, max(sepsis_label) AS sepsis_label FROM gold GROUP BY stay_id"),
 )(_labels)
-
-_ = F  # keep import for query modules that extend this file

@@ -3,8 +3,6 @@ the subgroup report (SPL1-SPL3, MDL1, SCR2, SCR3, EVL1-EVL7, SUB1, JON7)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from stayframe.config import LABEL, STAY
 from stayframe.operators.joins import attach_patients
 from stayframe.operators.metrics import (
@@ -437,5 +435,3 @@ FROM pred p LEFT JOIN stays st ON p.stay_id = st.stay_id LEFT JOIN patients pt O
     ),
     ["anchor_age", "sepsis_prob"],
 )(_jon7)
-
-_ = F

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stayframe.config import ADMISSION, INTIME, ITEM, LABEL, STAY, TIME, VALUE, WINDOW
+from stayframe.config import ADMISSION, INTIME, LABEL, STAY, TIME, WINDOW
 from stayframe.functions import iso_string
 from stayframe.operators.aggregates import first_window, lab_windows, silver_windows, vitals_by_window
 from stayframe.operators.contracts import assert_contract, bound_violations, fill_flags
@@ -21,12 +21,12 @@ from stayframe.operators.joins import (
 )
 from stayframe.operators.ordering import global_prefix, global_rank, sort_rows, top_k, first_n, union_parts
 from stayframe.operators.temporal import add_lags, assemble_v3, lags_from_previous, missing_trend, previous_window_map
-from stayframe.operators.windows import calendar_parts, parse_times, replay_schedule, temporal_attributes, window_bounds
+from stayframe.operators.windows import calendar_parts, parse_times, replay_schedule, temporal_attributes
 from stayframe.plans import oracle as Q
 from stayframe.plans.catalog import gold_doubles, inputs, register
 from stayframe.plans.mappings import EVENTS_CFG, LINEITEM_CFG, table
 from stayframe.plans.medallion import batch_matrix, gold_table
-from stayframe.plans.queries_eval import THRESHOLD, _score_sql, scored_gold
+from stayframe.plans.queries_eval import _score_sql, scored_gold
 
 
 def _gold(spark, sf_dir, m):
@@ -508,7 +508,6 @@ register(
     Q.with_mapping("lineitem", "SELECT stay_id, min(window_end) AS first_window_end FROM gold GROUP BY stay_id"),
 )(_agg13)
 
-_ = (ITEM, VALUE, window_bounds, THRESHOLD)
 
 
 # JON3 / JON5 / JON6 ----------------------------------------------------------

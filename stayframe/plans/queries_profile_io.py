@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from stayframe.config import ADMISSION, INTIME, ITEM, LABEL, STAY, SUBJECT, TIME, VALUE
+from stayframe.config import ADMISSION, INTIME, ITEM, LABEL, STAY, TIME, VALUE
 from stayframe.operators.cohort import build_cohort, label_by_code
 from stayframe.operators.profile import (
     cohort_summary,
@@ -451,5 +451,3 @@ def _mdl6(spark, sf_dir):
 
 
 register("MDL6_SCR1_save_load_score_lineitem")(_mdl6)
-
-_ = (SUBJECT, TIME)

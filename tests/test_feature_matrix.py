@@ -186,5 +186,3 @@ def test_input_order_does_not_change_gold(spark):
     shuffled = x.labs.orderBy("valuenum").repartition(5)
     b = gold_table(x.vitals, shuffled, x.stays, x.labels, x.cfg)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-_ = T0
