@@ -38,19 +38,36 @@ def window_bounds(df: DataFrame, cfg: WindowConfig, start: str = INTIME, with_st
     return df.withColumns(cols)
 
 
-def window_grid(cohort: DataFrame, cfg: WindowConfig) -> DataFrame:
+GRID_CHUNK = 4096
+
+
+def window_grid(cohort: DataFrame, cfg: WindowConfig, chunk: int = GRID_CHUNK) -> DataFrame:
     """WIN4: dense grid, ``n = max(1, floor(LOS / W))`` windows per stay.
 
     Stays with a NULL length get one window; every stay is kept.  The grid is
-    generated per stay with ``sequence`` + ``explode`` (no join), so it is
-    partitioned like the cohort and grows only with the true number of
-    windows.
+    generated without a join, in two levels: each stay first becomes one row
+    per block of ``chunk`` window indices, the blocks are hash-distributed
+    by (stay, block), then each block is exploded.  A stay with an enormous
+    length (a bad discharge time) is thus generated by many tasks, never as
+    one giant array in one task; the extra shuffle moves about one row per
+    stay.
     """
     los = elapsed_micros(INTIME, OUTTIME)
     n = F.greatest(F.lit(1), F.coalesce(F.floor(los / F.lit(cfg.window_micros)), F.lit(1)).cast("int"))
-    grid = cohort.select(
-        STAY, ADMISSION, INTIME, F.explode(F.sequence(F.lit(0), n - F.lit(1))).alias(WINDOW)
+    blocks = cohort.select(
+        STAY,
+        ADMISSION,
+        INTIME,
+        n.alias("_n"),
+        F.explode(F.sequence(F.lit(0), F.floor((n - F.lit(1)) / F.lit(chunk)).cast("int"))).alias("_blk"),
     )
+    # An explicit count: block rows are tiny, so AQE would otherwise merge
+    # them back into one task although each expands to many windows.
+    parts = int(cohort.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = blocks.repartition(parts, STAY, "_blk")
+    lo = F.col("_blk") * F.lit(chunk)
+    hi = F.least(F.col("_n"), lo + F.lit(chunk)) - F.lit(1)
+    grid = blocks.select(STAY, ADMISSION, INTIME, F.explode(F.sequence(lo, hi)).alias(WINDOW))
     return window_bounds(grid, cfg, with_start=True).select(
         STAY, ADMISSION, INTIME, WINDOW, "window_start", "window_end"
     )
