@@ -152,6 +152,56 @@ def score(df: DataFrame, model, prob: str = "sepsis_prob") -> DataFrame:
     return out.withColumn(prob, vector_to_array("probability")[1]).select(*keep, prob)
 
 
+_WORKER_MODELS: dict = {}
+
+
+class LinearScorer:
+    """A small picklable foreign model: logistic score of a linear function of
+    features (NULL features count as 0).  Stands in for any object with a
+    ``predict_proba(pandas.DataFrame) -> array`` method."""
+
+    def __init__(self, weights: dict, bias: float):
+        self.weights = dict(weights)
+        self.bias = float(bias)
+
+    def predict_proba(self, pdf):
+        import numpy as np
+
+        z = np.full(len(pdf), self.bias)
+        for c, w in self.weights.items():
+            z = z + w * pdf[c].astype("float64").fillna(0.0).to_numpy()
+        p1 = 1.0 / (1.0 + np.exp(-z))
+        return np.column_stack([1.0 - p1, p1])
+
+
+def score_foreign(
+    df: DataFrame,
+    model_factory,
+    features: Sequence[str],
+    prob: str = "sepsis_prob",
+    model_key: str = "default",
+) -> DataFrame:
+    """SCR1 for models Spark cannot run natively: Arrow-batched
+    ``mapInPandas`` (never row-at-a-time).  ``model_factory()`` builds the
+    model once per Python worker (cached under ``model_key``) and each batch
+    is scored with ``predict_proba``.  Spark partitions the rows; the model
+    only ever sees one batch."""
+    from pyspark.sql.types import DoubleType, StructField, StructType
+
+    out_schema = StructType(list(df.schema.fields) + [StructField(prob, DoubleType(), True)])
+    cols = list(features)
+
+    def run(batches):
+        model = _WORKER_MODELS.get(model_key)
+        if model is None:
+            model = _WORKER_MODELS[model_key] = model_factory()
+        for pdf in batches:
+            pdf[prob] = model.predict_proba(pdf[cols])[:, 1] if len(pdf) else []
+            yield pdf
+
+    return df.mapInPandas(run, out_schema)
+
+
 def alert(df: DataFrame, threshold: float, prob: str = "sepsis_prob", out: str = "sepsis_alert", stamp: bool = True) -> DataFrame:
     """SCR2: ``alert = prob >= threshold`` (inclusive) and ``predicted_at``."""
     res = df.withColumn(out, flag(F.col(prob) >= F.lit(float(threshold))))

@@ -75,3 +75,4 @@ from stayframe.plans import queries_core  # noqa: E402,F401
 from stayframe.plans import queries_eval  # noqa: E402,F401
 from stayframe.plans import queries_features  # noqa: E402,F401
 from stayframe.plans import queries_profile_io  # noqa: E402,F401
+from stayframe.plans import queries_scoring  # noqa: E402,F401

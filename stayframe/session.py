@@ -40,6 +40,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.codegen.cache.maxEntries", "2000")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in RUNTIME_OPTIONS.items():
         builder = builder.config(k, v)
