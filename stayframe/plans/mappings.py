@@ -110,13 +110,21 @@ def _once(fn):
     return get
 
 
+_SCANS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
-    return read_table(
-        spark,
-        f"{sf_dir.rstrip('/')}/{name}.parquet",
-        columns=columns,
-        min_partitions=spark.sparkContext.defaultParallelism,
-    )
+    """Scan of a driver table; the (immutable) scan DataFrame is reused within
+    a session so repeated queries do not re-list files or re-plan the read."""
+    key = (id(spark), sf_dir.rstrip("/"), name, tuple(columns or ()))
+    if key not in _SCANS:
+        _SCANS[key] = read_table(
+            spark,
+            f"{sf_dir.rstrip('/')}/{name}.parquet",
+            columns=columns,
+            min_partitions=spark.sparkContext.defaultParallelism,
+        )
+    return _SCANS[key]
 
 
 def patients_from_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
