@@ -47,7 +47,7 @@ def batch_matrix(
     vitals: DataFrame,
     labs: DataFrame,
     cohort: DataFrame,
-    labels: DataFrame,
+    labels: DataFrame | None,
     cfg: WindowConfig,
     elapsed_at: str = "end",
 ) -> DataFrame:
@@ -59,6 +59,8 @@ def batch_matrix(
     the batch loop over groups of stays of a single-machine version is not
     needed: the shuffle partitions the work.
     """
+    if labels is None:  # label carried on the cohort, as in a cohort table
+        labels = cohort.select(STAY, LABEL)
     grid = window_grid(cohort, cfg).select(STAY, WINDOW, "window_end")
     v = vitals_by_window(vitals, cohort, cfg).drop("intime")
     lw = lab_windows(labs, cohort, cfg)
