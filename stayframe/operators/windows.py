@@ -54,20 +54,27 @@ def window_grid(cohort: DataFrame, cfg: WindowConfig, chunk: int = GRID_CHUNK) -
     """
     los = elapsed_micros(INTIME, OUTTIME)
     n = F.greatest(F.lit(1), F.coalesce(F.floor(los / F.lit(cfg.window_micros)), F.lit(1)).cast("int"))
-    blocks = cohort.select(
+    base = cohort.select(STAY, ADMISSION, INTIME, n.alias("_n"))
+    # Stays that fit in one block expand where they are (no shuffle).
+    short = base.where(F.col("_n") <= chunk).select(
+        STAY, ADMISSION, INTIME, F.explode(F.sequence(F.lit(0), F.col("_n") - F.lit(1))).alias(WINDOW)
+    )
+    # Longer stays: one row per block, redistributed, then expanded.  An
+    # explicit count because block rows are tiny and AQE would otherwise
+    # merge them into one task; AQE drops this branch when it is empty.
+    blocks = base.where(F.col("_n") > chunk).select(
         STAY,
         ADMISSION,
         INTIME,
-        n.alias("_n"),
-        F.explode(F.sequence(F.lit(0), F.floor((n - F.lit(1)) / F.lit(chunk)).cast("int"))).alias("_blk"),
+        "_n",
+        F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - F.lit(1)) / F.lit(chunk)).cast("int"))).alias("_blk"),
     )
-    # An explicit count: block rows are tiny, so AQE would otherwise merge
-    # them back into one task although each expands to many windows.
     parts = int(cohort.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = blocks.repartition(parts, STAY, "_blk")
     lo = F.col("_blk") * F.lit(chunk)
     hi = F.least(F.col("_n"), lo + F.lit(chunk)) - F.lit(1)
-    grid = blocks.select(STAY, ADMISSION, INTIME, F.explode(F.sequence(lo, hi)).alias(WINDOW))
+    long_ = blocks.select(STAY, ADMISSION, INTIME, F.explode(F.sequence(lo, hi)).alias(WINDOW))
+    grid = short.unionByName(long_)
     return window_bounds(grid, cfg, with_start=True).select(
         STAY, ADMISSION, INTIME, WINDOW, "window_start", "window_end"
     )
