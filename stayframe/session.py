@@ -27,6 +27,21 @@ def tune(spark: SparkSession) -> SparkSession:
     for k, v in RUNTIME_OPTIONS.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    return importable(spark)
+
+
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package when it runs from a source folder.
+
+    Workers that see the same folder (local runs, a shared mount) get it on
+    their path; an installed package, or one shipped with ``--py-files``, is
+    found without it.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    have = env.get("PYTHONPATH", "")
+    if root not in have.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, have]))
     return spark
 
 
