@@ -89,3 +89,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path inside the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/stayframe/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder made at ``scratch_path``; any other path is refused."""
+    if not path.startswith(f"{checkpoint_dir(spark)}/stayframe/"):
+        raise ValueError(f"not a scratch path: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
