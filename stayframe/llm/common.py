@@ -107,24 +107,23 @@ class Words:
         return at, mix(spans_hash(self.hash, at, at + size, _S))
 
 
-def text_batches(batches, column: str = "text", limit: int = 4 << 20):
-    """Arrow batches cut or joined to about ``limit`` bytes of text: (table, list of UTF-8 texts, null as empty)."""
+def text_batches(batches, column: str = "text", limit: int = 4 << 20, rows: int = 20_000):
+    """Arrow batches cut or joined to about ``limit`` bytes of text and ``rows`` rows at most: (table, list of UTF-8 texts, null as empty)."""
     import pyarrow.compute as pc
 
-    held, size = [], 0
+    held, size, n = [], 0, 0
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column))
         ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
         while at < batch.num_rows:
             base = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, base + limit - size, side="right")))
+            to = min(at + rows - n, max(at + 1, int(np.searchsorted(ends, base + limit - size, side="right"))))
             held.append(batch.slice(at, to - at))
-            size += int(ends[to - 1] - base)
-            at = to
-            if size >= limit or sum(b.num_rows for b in held) >= 30_000:
+            size, n, at = size + int(ends[to - 1] - base), n + to - at, to
+            if size >= limit or n >= rows or to < batch.num_rows:
                 yield _joined(held, column)
-                held, size = [], 0
+                held, size, n = [], 0, 0
     if held:
         yield _joined(held, column)
 

@@ -130,14 +130,22 @@ def _sampled(batches):
         yield pa.RecordBatch.from_arrays([*t.select(["doc_id", "label"]).to_batches()[0].columns, pa.array(rows, pa.binary())], ["doc_id", "label", "counts"])
 
 
+def _scored(texts: list[bytes], voter: Voter) -> np.ndarray:
+    return np.concatenate([voter.score(terms(texts[at : at + BLOCK])) for at in range(0, len(texts), BLOCK)])
+
+
 def _scores(batches, voter):
     import pyarrow as pa
 
     for t, texts in text_batches(batches, limit=2 << 20):
-        v, out = voter.value, []
-        for at in range(0, len(texts), BLOCK):
-            out.append(v.score(terms(texts[at : at + BLOCK])))
-        yield pa.RecordBatch.from_arrays([t.column("doc_id").combine_chunks(), pa.array(np.concatenate(out))], ["doc_id", "score"])
+        yield pa.RecordBatch.from_arrays([t.column("doc_id").combine_chunks(), pa.array(_scored(texts, voter.value))], ["doc_id", "score"])
+
+
+def _keep(batches, voter, least):
+    import pyarrow as pa
+
+    for t, texts in text_batches(batches, limit=2 << 20):
+        yield from t.filter(pa.array(_scored(texts, voter.value) >= least)).combine_chunks().to_batches()
 
 
 def score_quality(docs: DataFrame, voter: Voter) -> DataFrame:
@@ -146,6 +154,12 @@ def score_quality(docs: DataFrame, voter: Voter) -> DataFrame:
     return id_and_text(docs).mapInArrow(partial(_scores, voter=shared), "doc_id long, score double")
 
 
+def keep_quality(docs: DataFrame, voter: Voter, least: float = 0.5) -> DataFrame:
+    """The rows of documents, with all their columns, whose score reaches ``least``."""
+    shared = docs.sparkSession.sparkContext.broadcast(voter)
+    return docs.mapInArrow(partial(_keep, voter=shared, least=least), docs.schema)
+
+
 def quality_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Contract columns of ``op10_quality``: learned from rows that aren't held out."""
     voter = fit(docs, labels.where(~held_out(F.col("doc_id"))))

@@ -5,16 +5,28 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stayframe.llm import chat, language, neighbours, packing, quality, secrets, simhash
+from stayframe.llm import chat, decontaminate, language, neighbours, packing, pii, quality, secrets, simhash, substrings
 from stayframe.llm.common import table
 from stayframe.session import tune
 
 
+def op1_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.kept_digests(substrings.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(packing.VOCABULARY))
     return packing.pack(pieces)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digests(pii.find_pii(table(spark, sf_dir, "documents")))
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(chat.format_chats(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
@@ -43,5 +55,5 @@ def _tuned(fn):
     return lambda spark, sf_dir: fn(tune(spark), sf_dir)
 
 
-QUERIES = {f.__name__: _tuned(f) for f in (op2_packing, op5_chat_format, op6_language, op7_neighbours, op8_secrets, op9_simhash, op10_quality)}
-SQL = {"op5_chat_format": chat.CHAT_SQL}
+QUERIES = {f.__name__: _tuned(f) for f in (op1_substrings, op2_packing, op3_pii, op4_decontaminate, op5_chat_format, op6_language, op7_neighbours, op8_secrets, op9_simhash, op10_quality)}
+SQL = {"op1_substrings": substrings.SUBSTRINGS_SQL, "op4_decontaminate": decontaminate.LEAKS_SQL, "op5_chat_format": chat.CHAT_SQL}

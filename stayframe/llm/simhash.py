@@ -61,12 +61,17 @@ def _fingerprints(batches, shingle: int):
     for b in batches:
         texts = b.column(1).cast(pa.large_binary())
         fps = np.fromiter((fingerprint(t.as_py() or b"", shingle) for t in texts), np.uint64, b.num_rows)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64), pa.int64())], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fps.view(np.int64), pa.int64())], ["doc_id", "sig", "fp"])
+
+
+def signed(docs: DataFrame) -> Column:
+    """A hash of the text that tells rows of one doc_id apart."""
+    return F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the 64 bits as a long) of every row."""
-    return id_and_text(docs).mapInArrow(partial(_fingerprints, shingle=shingle), "doc_id long, fp long")
+    """doc_id, sig (hash of the text), fp (the 64 bits as a long) of every row."""
+    return id_and_text(docs, signed(docs).alias("sig")).mapInArrow(partial(_fingerprints, shingle=shingle), "doc_id long, sig long, fp long")
 
 
 def _signed(x: int) -> int:
@@ -122,13 +127,23 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_list: int = MAX_LIST) -> DataFrame:
-    """doc_id, fp, component_id (smallest doc_id in reach) of every row."""
+    """doc_id, sig, fp, root (least fingerprint in reach) and component_id (smallest doc_id in reach) of every row."""
     fps = cut(fingerprints(docs, shingle))
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     nodes = components(links(distinct.select("fp"), max_list))
     reach = distinct.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = reach.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return fps.join(reach.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return fps.join(reach.join(least, "root").select("fp", "root", "component_id"), "fp").select("doc_id", "sig", "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The documents with one row of each component left: that of its smallest doc_id (of equal ids, of the least text hash)."""
+    found = near_duplicates(docs, shingle)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "sig"))
+    stay = found.groupBy("root").agg(first.alias("k")).select(F.col("k.doc_id").alias("_stay_id"), F.col("k.sig").alias("_stay_sig"))
+    keyed = docs.withColumn("_sig", signed(docs)).withColumn("_id", docs["doc_id"].cast("long"))
+    kept = keyed.join(stay, keyed["_id"].eqNullSafe(stay["_stay_id"]) & (keyed["_sig"] == stay["_stay_sig"]), "left_semi")
+    return kept.dropDuplicates(["_id", "_sig"]).select(*[kept[f"`{c}`"] for c in docs.columns])
 
 
 def fingerprint_digests(found: DataFrame) -> DataFrame:
