@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from stayframe.llm.common import Words, bounded_sample, held_out, id_and_text, mix, text_batches
 
-SLOTS, LATENT, SAMPLE, NEIGHBOURS, BLOCK, SEED = 2048, 48, 3000, 15, 512, 7
+SLOTS, LATENT, SAMPLE, NEIGHBOURS, BLOCK, SEED, TIE = 2048, 48, 3000, 15, 512, 7, 1e-5
 
 
 def _outline() -> np.ndarray:
@@ -103,10 +103,10 @@ class Voter:
         z = self._project(weighted(counts, self.idf))
         for at in range(0, len(z), BLOCK):
             cosine = z[at : at + BLOCK] @ self.refs.T
-            top = np.argpartition(-cosine, self.neighbours - 1, axis=1)[:, : self.neighbours]
-            near = np.take_along_axis(cosine, top, 1).astype(np.float64)
-            weight = np.exp(20 * (near - near.max(1, keepdims=True)))
-            vote = (weight * self.labels[top]).sum(1) / weight.sum(1)
+            # every row as near as the k-th nearest votes, so ties never hang on the order of the sample
+            least = np.partition(cosine, -self.neighbours, axis=1)[:, -self.neighbours, None]
+            weight = np.where(cosine >= least - TIE, np.exp(20 * (cosine - cosine.max(1, keepdims=True))), np.float32(0))
+            vote = (weight @ self.labels) / weight.sum(1)
             known = np.abs(z[at : at + BLOCK]).sum(1) > 0
             out[at : at + BLOCK][known] = vote[known]
         return np.clip(out, 0.0, 1.0)
