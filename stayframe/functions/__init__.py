@@ -13,7 +13,6 @@ from stayframe.functions.values import (
     flag,
     safe_div,
     right_closed_bucket,
-    rounded,
 )
 
 __all__ = [
@@ -27,5 +26,4 @@ __all__ = [
     "flag",
     "safe_div",
     "right_closed_bucket",
-    "rounded",
 ]

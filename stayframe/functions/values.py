@@ -38,7 +38,3 @@ def right_closed_bucket(x, edges, labels) -> Column:
         cond = (v > F.lit(lo)) & (v <= F.lit(hi))
         expr = F.when(cond, F.lit(lab)) if expr is None else expr.when(cond, F.lit(lab))
     return expr
-
-
-def rounded(x, digits: int = 6) -> Column:
-    return F.round(_c(x), digits)

@@ -23,30 +23,51 @@ from stayframe.config import (
     WindowConfig,
 )
 from stayframe.functions import flag
-from stayframe.operators.filters import drop_before_start, keep_items, keep_measured, normalise_values
+from stayframe.operators.filters import drop_before_start, keep_items, keep_measured
 from stayframe.operators.joins import attach_admission_stays, attach_stays
 from stayframe.operators.windows import assign_window, window_bounds
 
 
 def _prepared(readings: DataFrame, items) -> DataFrame:
-    """FLT1 + NaN->NULL + FLT2 on a measurement table."""
-    return keep_measured(normalise_values(keep_items(readings, items)))
+    """FLT1 + FLT2 on a measurement table (FLT2 tests the raw value for NULL
+    and NaN, so the null test reaches the scan)."""
+    return keep_measured(keep_items(readings, items))
+
+
+# Optional stay column: number of full windows; readings past them are dropped
+# with the window index, before anything is aggregated or shuffled by window.
+BOUND = "n_windows"
+
+
+def _within_grid(df: DataFrame) -> DataFrame:
+    return df.where(F.col(WINDOW) < F.col(BOUND)) if BOUND in df.columns else df
+
+
+def _stay_columns(stays: DataFrame, *cols: str) -> tuple:
+    return (*cols, BOUND) if BOUND in stays.columns else cols
 
 
 def windowed_vitals(vitals: DataFrame, stays: DataFrame, cfg: WindowConfig) -> DataFrame:
     """Readings (stay-keyed) joined to their stay start, pre-start readings
-    dropped, window index assigned: the input of every vitals aggregate."""
+    dropped, window index assigned: the input of every vitals aggregate.
+    Stays that carry ``n_windows`` also bound the index from above."""
     ev = _prepared(vitals.select(STAY, TIME, ITEM, VALUE), cfg.vital_items)
-    j = drop_before_start(attach_stays(ev, stays, cols=(INTIME,)))
-    return assign_window(j, cfg)
+    j = drop_before_start(attach_stays(ev, stays, cols=_stay_columns(stays, INTIME)))
+    return _within_grid(assign_window(j, cfg))
 
 
 def windowed_labs(labs: DataFrame, stays: DataFrame, cfg: WindowConfig) -> DataFrame:
-    """Admission-keyed readings fanned out to every stay of the admission,
-    then windowed like vitals."""
-    ev = _prepared(labs.select(ADMISSION, TIME, ITEM, VALUE), cfg.lab_items)
-    j = drop_before_start(attach_admission_stays(ev, stays, cols=(STAY, INTIME)))
-    return assign_window(j, cfg)
+    """Readings windowed like vitals: those keyed by stay (resolved before
+    they were published) join their stay, those keyed by admission fan out to
+    every stay of the admission."""
+    if STAY in labs.columns:
+        ev = _prepared(labs.select(STAY, TIME, ITEM, VALUE), cfg.lab_items)
+        j = attach_stays(ev, stays, cols=_stay_columns(stays, INTIME))
+    else:
+        ev = _prepared(labs.select(ADMISSION, TIME, ITEM, VALUE), cfg.lab_items)
+        j = attach_admission_stays(ev, stays, cols=_stay_columns(stays, STAY, INTIME))
+    j = drop_before_start(j)
+    return _within_grid(assign_window(j, cfg))
 
 
 def missing_flag(values: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from stayframe.config import INTIME, ITEM, STAY, TIME, VALUE
-from stayframe.functions import nan_to_null, safe_div
+from stayframe.functions import safe_div
 
 
 def keep_items(df: DataFrame, items: Sequence, col: str = ITEM) -> DataFrame:
@@ -18,11 +18,6 @@ def keep_items(df: DataFrame, items: Sequence, col: str = ITEM) -> DataFrame:
     return df.where(F.col(col).isin(list(items)))
 
 
-def normalise_values(df: DataFrame, col: str = VALUE) -> DataFrame:
-    """NaN readings become NULL (missing is NULL only)."""
-    return df.withColumn(col, nan_to_null(col))
-
-
 def keep_measured(df: DataFrame, col: str = VALUE) -> DataFrame:
     """FLT2: drop readings without a value (NaN counts as no value)."""
     return df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col)))
@@ -53,18 +48,19 @@ def ranges_frame(spark, ranges: Mapping, item_type) -> DataFrame:
 
 
 def _ranges(df: DataFrame, ranges, item: str) -> DataFrame:
+    """A range table; one built from a mapping has a row per listed item and is
+    broadcast, a caller's own table is left to the planner."""
     if isinstance(ranges, DataFrame):
         return ranges
-    return ranges_frame(df.sparkSession, ranges, df.schema[item].dataType)
+    return F.broadcast(ranges_frame(df.sparkSession, ranges, df.schema[item].dataType))
 
 
 def clean_ranges(df: DataFrame, ranges, item: str = ITEM, value: str = VALUE) -> DataFrame:
     """FLT5: keep readings inside their item's ``[lo, hi]`` (both ends
-    inclusive); items without a range are dropped.  The range table has one
-    row per listed item, so broadcasting it is bounded by the item list."""
+    inclusive); items without a range are dropped."""
     r = _ranges(df, ranges, item)
     return (
-        df.join(F.broadcast(r), item, "inner")
+        df.join(r, item, "inner")
         .where(F.col(value).between(F.col("lo"), F.col("hi")))
         .drop("lo", "hi")
     )
@@ -77,8 +73,8 @@ def range_drop_report(df: DataFrame, ranges, item: str = ITEM, value: str = VALU
     a single pass.  The total counts every row (unlisted items included) as
     rows before cleaning.  0/0 gives a NULL percentage.
     """
-    r = _ranges(df, ranges, item).withColumn("_listed", F.lit(True))
-    j = df.select(item, value).join(F.broadcast(r), item, "left")
+    r = _ranges(df, ranges, item)
+    j = df.select(item, value).join(r, item, "left").withColumn("_listed", F.when(F.col("lo").isNotNull() | F.col("hi").isNotNull(), True))
     kept = F.coalesce(F.col("_listed"), F.lit(False)) & F.col(value).between(F.col("lo"), F.col("hi"))
     agg = j.rollup(item).agg(
         F.grouping(item).alias("_g"),

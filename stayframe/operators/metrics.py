@@ -141,14 +141,6 @@ def report_metrics(
     )
 
 
-def auroc(df: DataFrame, score: str = "score", label: str = LABEL, by: Sequence[str] = ()) -> DataFrame:
-    return ranking_metrics(df, score, label, by).select(*by, "auroc")
-
-
-def average_precision(df: DataFrame, score: str = "score", label: str = LABEL, by: Sequence[str] = ()) -> DataFrame:
-    return ranking_metrics(df, score, label, by).select(*by, "auprc")
-
-
 def roc_curve(df: DataFrame, score: str = "score", label: str = LABEL, by: Sequence[str] = ()) -> DataFrame:
     """EVL4: ``threshold, tpr, fpr`` at every distinct score plus the
     starting point (+inf, 0, 0); NULL rates for one-class groups."""

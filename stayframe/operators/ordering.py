@@ -4,8 +4,8 @@ first-n and union (SRT1-SRT3, SET1).
 ``global_prefix`` is a two-level prefix sum:
 
 1. range-partition the rows on the sort key (Spark samples the key to pick
-   balanced boundaries; a key holding many rows only makes its range wider,
-   never one task hold the whole table);
+   balanced boundaries). The key must be unique: equal keys can't be split, so
+   collapse them to one row with a count first, as ``exact_quantiles`` does;
 2. running sums inside each range partition (a window partitioned by the
    partition id, so each task sorts only its own slice);
 3. per-partition totals form a table with one row per partition (and group),
@@ -99,7 +99,9 @@ def global_prefix(
     if totals:
         off_cols += [F.sum(f"_{c}_part").over(w_all).alias(f"{c}_total") for c in sums]
     offsets = per_part.select(_PID, *by, *off_cols)
-    out = r.join(F.broadcast(offsets), [_PID, *by], "inner")
+    # Without groups the offsets have one row per range partition; with groups
+    # their number may follow the data, so the join is left to the planner.
+    out = r.join(offsets if by else F.broadcast(offsets), [_PID, *by], "inner")
     for c in sums:
         out = out.withColumn(f"{c}{suffix}", F.col(f"_{c}_local") + F.col(f"_{c}_off"))
     drop = [_PID] + [f"_{c}_local" for c in sums] + [f"_{c}_off" for c in sums]
@@ -158,7 +160,7 @@ def global_previous(
     )
     w_prev = Window.partitionBy(*by).orderBy(_PID)
     last = last.select(_PID, *by, F.lag("_last", 1).over(w_prev).alias("_carry"))
-    out = r.join(F.broadcast(last), [_PID, *by], "inner")
+    out = r.join(last if by else F.broadcast(last), [_PID, *by], "inner")
     chosen = F.when(F.col("_is_first"), F.col("_carry")).otherwise(F.col("_prev_local"))
     for c in columns:
         out = out.withColumn(f"{prefix}{c}", chosen.getField(c))
@@ -171,6 +173,23 @@ def sort_rows(df: DataFrame, *order) -> DataFrame:
     return df.orderBy(*order)
 
 
+def global_position(sorted_rows: DataFrame, name: str = "position") -> DataFrame:
+    """0-based place of each row in the order in which a sorted frame hands
+    its rows out: partitions in their order, rows as they stand in them.
+
+    The sorted rows are pinned by a checkpoint, numbered inside each partition
+    and shifted by the sizes of the partitions before (one row each)."""
+    from stayframe.session import checkpoint_dir
+
+    checkpoint_dir(sorted_rows.sparkSession)
+    r = sorted_rows.checkpoint().withColumn("_at", F.monotonically_increasing_id())
+    r = r.withColumn(_PID, F.shiftright("_at", 33).cast("int")).withColumn("_at", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
+    sizes = r.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(_PID, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return r.join(F.broadcast(offsets), _PID).withColumn(name, F.col("_at") + F.col("_off")).drop(_PID, "_at", "_off")
+
+
 def top_k(df: DataFrame, by: str, k: int = 10, ties: Sequence[str] = (), descending: bool = True) -> DataFrame:
     """SRT2: the k rows with the largest (or smallest) ``by``; explicit tie
     keys make the choice deterministic.  Plans as TakeOrderedAndProject:

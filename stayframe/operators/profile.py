@@ -1,9 +1,11 @@
 """Profiling aggregates (AGG7-AGG12, AGG14).
 
-Exact quantiles are computed without gathering a group: rows are ranked
-with the distributed prefix sum, then only the (at most two per quantile)
-rows at the interpolation positions are kept and combined.  This is the
-same linear interpolation as ``numpy.percentile`` / ``quantile_cont``.
+Exact quantiles are computed without gathering a group: equal values are
+collapsed to one row with their count (map-side partials, so a value held by
+most rows costs one row per task), the counts are prefix-summed in value
+order, and the values whose ranks cover the interpolation positions are kept.
+This is the same linear interpolation as ``numpy.percentile`` /
+``quantile_cont``.  NaN counts as missing everywhere.
 """
 
 from __future__ import annotations
@@ -15,8 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayframe.config import ITEM, LABEL, SUBJECT, TIME
-from stayframe.functions import safe_div
-from stayframe.operators.ordering import global_rank, with_scalars
+from stayframe.functions import nan_to_null, safe_div
+from stayframe.operators.ordering import global_prefix, with_scalars
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -41,25 +43,25 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolation quantiles per group, exact and distributed."""
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    v = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(*by, value)
-    ranked = global_rank(v, [F.col(value).asc()], by, with_count=True)
-    n1 = F.col("n").cast("double") - F.lit(1.0)
-    conds = []
+    v = df.select(*by, nan_to_null(F.col(value).cast("double")).alias(value)).where(F.col(value).isNotNull())
+    counts = v.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_k"))
+    ranked = global_prefix(counts, [F.col(value).asc()], ["_k"], by, totals=True)
+    n1 = F.col("_k_total").cast("double") - F.lit(1.0)
+    # a value's rows have the 0-based ranks _k_cum - _k .. _k_cum - 1
+    holds = lambda at: (F.col("_k_cum") - F.col("_k") <= at) & (at < F.col("_k_cum"))
+    keep = F.lit(False)
     parts = []
     for p, name in zip(probs, names):
         pos = n1 * F.lit(float(p))
         lo, hi = F.floor(pos), F.ceil(pos)
-        conds += [F.col("rank") == lo, F.col("rank") == hi]
+        keep = keep | holds(lo) | holds(hi)
         parts.append((name, lo, hi, pos))
-    keep = conds[0]
-    for c in conds[1:]:
-        keep = keep | c
     picked = ranked.where(keep)
-    aggs = [F.max("n").alias("_n")]
+    aggs = []
     for name, lo, hi, pos in parts:
         aggs += [
-            F.max(F.when(F.col("rank") == lo, F.col(value))).alias(f"_{name}_lo"),
-            F.max(F.when(F.col("rank") == hi, F.col(value))).alias(f"_{name}_hi"),
+            F.max(F.when(holds(lo), F.col(value))).alias(f"_{name}_lo"),
+            F.max(F.when(holds(hi), F.col(value))).alias(f"_{name}_hi"),
             F.max(pos - lo).alias(f"_{name}_frac"),
         ]
     g = picked.groupBy(*by).agg(*aggs)
@@ -73,6 +75,7 @@ def exact_quantiles(
 def describe_by(df: DataFrame, value: str, group: str, digits: int = 1) -> DataFrame:
     """AGG9: count, mean, std, min, 25/50/75 %, max of ``value`` per group,
     rounded like a printed summary."""
+    df = df.select(group, nan_to_null(F.col(value).cast("double")).alias(value))
     base = df.where(F.col(value).isNotNull()).groupBy(group).agg(
         F.count(value).alias("count"),
         F.avg(value).alias("mean"),
@@ -114,7 +117,7 @@ def histogram(
 ) -> DataFrame:
     """AGG11: equal-width histogram over the global [min, max] (shared by
     all groups), optional upper clip; the maximum falls in the last bin."""
-    x = F.col(value).cast("double")
+    x = nan_to_null(F.col(value).cast("double"))
     if clip_upper is not None:
         x = F.least(x, F.lit(float(clip_upper)))
     v = df.select(*by, x.alias("_x")).where(F.col("_x").isNotNull())
@@ -139,39 +142,35 @@ def density(
     df: DataFrame,
     value: str,
     by: Sequence[str] = (),
-    grid_points: int = 100,
-    bins: int = 512,
+    grid_points: int = 1000,
 ) -> DataFrame:
-    """AGG12: Gaussian kernel density per group on a common grid.
-
-    Binned estimate: values are first reduced to a fine histogram (bounded
-    by ``bins`` rows per group), the bandwidth follows Scott's rule
-    (``std * n^(-1/5)``); each grid point then sums the kernel over the
-    group's bins with a higher-order function over a bounded array, joined
-    to the grid on the group key."""
-    h = histogram(df, value, bins, None, by).withColumn("_c", (F.col("bin_lo") + F.col("bin_hi")) / F.lit(2.0))
-    stats = df.where(F.col(value).isNotNull()).groupBy(*by).agg(
-        F.stddev_samp(F.col(value).cast("double")).alias("_sd"), F.count(F.lit(1)).alias("_n")
-    )
-    packed = h.groupBy(*by).agg(
-        F.collect_list(F.struct(F.col("_c").alias("c"), F.col("n").cast("double").alias("w"))).alias("_bins"),
-        F.min("bin_lo").alias("_lo"),
-        F.max("bin_hi").alias("_hi"),
-    )
-    pk = packed.join(stats, list(by), "inner") if by else with_scalars(packed, stats)
-    bw = F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))
-    pk = pk.withColumn("_bw", bw)
-    grid = pk.withColumn("grid_index", F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))))
-    x = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("grid_index") / F.lit(float(max(grid_points - 1, 1)))
-    grid = grid.withColumn("x", x)
-    norm = F.lit(1.0 / math.sqrt(2 * math.pi))
-    ksum = F.aggregate(
-        "_bins",
-        F.lit(0.0),
-        lambda acc, b: acc + b["w"] * F.exp(F.lit(-0.5) * F.pow((F.col("x") - b["c"]) / F.col("_bw"), F.lit(2.0))),
-    )
-    dens = safe_div(ksum * norm, F.col("_n") * F.col("_bw"))
-    return grid.select(*by, "grid_index", "x", dens.alias("density"))
+    """AGG12: Gaussian kernel density per group.
+
+    Each group has its own grid of ``grid_points`` points, from half its range
+    below its minimum to half its range above its maximum.  The bandwidth
+    follows Scott's rule (``std * n^(-1/5)``).  Every distinct value counts
+    with its number of rows, so the sum is exact; values meet grid points in
+    an equi-join on the group and are summed with map-side partials.  Groups
+    of one distinct value have no bandwidth and a NULL density.  One pass
+    over ``df``: the statistics come from the counts."""
+    by = list(by)
+    v = df.select(*by, nan_to_null(F.col(value).cast("double")).alias("_v")).where(F.col("_v").isNotNull())
+    counts = v.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_k"))
+    k, x = F.col("_k").cast("double"), F.col("_v")
+    first = counts.groupBy(*by).agg(F.sum(k).alias("_n"), F.min(x).alias("_lo"), F.max(x).alias("_hi"), (F.sum(k * x) / F.sum(k)).alias("_mean"))
+    with_group = (lambda a, b: a.join(b, by, "inner")) if by else with_scalars
+    spread = with_group(counts, first)
+    var = F.sum(k * F.pow(x - F.col("_mean"), F.lit(2.0))) / (F.max("_n") - F.lit(1.0))
+    stats = spread.groupBy(*by).agg(F.max("_n").alias("_n"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.when(F.max("_n") > 1, F.sqrt(var)).alias("_sd"))
+    stats = stats.withColumn("_bw", F.when(F.col("_sd") > 0, F.col("_sd") * F.pow("_n", F.lit(-0.2))))
+    pad = (F.col("_hi") - F.col("_lo")) / F.lit(2.0)
+    step = F.lit(2.0) * (F.col("_hi") - F.col("_lo")) / F.lit(float(max(grid_points - 1, 1)))
+    # Every value takes part in all grid points of its group: the points are bounded, the values are partitioned.
+    points = with_group(counts, stats).withColumn("grid_index", F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))))
+    points = points.withColumn("x", F.col("_lo") - pad + step * F.col("grid_index"))
+    kernel = F.col("_k") * F.exp(F.lit(-0.5) * F.pow((F.col("x") - F.col("_v")) / F.col("_bw"), F.lit(2.0)))
+    dens = safe_div(F.sum(kernel) * F.lit(1.0 / math.sqrt(2 * math.pi)), F.max("_n") * F.max("_bw"))
+    return points.groupBy(*by, "grid_index").agg(F.max("x").alias("x"), dens.alias("density"))
 
 
 def item_profile(df: DataFrame, item: str = ITEM, time: str = TIME) -> DataFrame:

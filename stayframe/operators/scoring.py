@@ -4,15 +4,19 @@ The boosted-tree learner is MLlib's ``GBTClassifier`` (distributed over the
 cluster, no single-machine library): the reference settings map onto its
 parameters as closely as MLlib allows.  MLlib trees reject NaN, so missing
 features get a sentinel value; the explicit ``*_missing`` flags carry the
-missingness signal.  Scoring is a JVM ``transform``; probabilities are taken
+missingness signal.  All ``max_iter`` rounds are trained on the training
+split: MLlib can only stop at the first round that gains too little, not
+after a patience of rounds, so no validation column is given to it.  Scoring is a JVM ``transform``; probabilities are taken
 from the vector column without Python.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +31,7 @@ SENTINEL = -999.0
 class TreeSettings:
     """Boosted-tree settings.  ``v1``: 500 trees, depth 6, learning rate
     0.05, row and feature sampling 0.8, seed 42.  ``v3``: 1000 trees, depth 5,
-    at least 3 rows per leaf.  MLlib stops early on validation-loss
-    improvement below ``validation_tol`` (it has no patience in rounds)."""
+    at least 3 rows per leaf."""
 
     max_iter: int = 500
     max_depth: int = 6
@@ -36,7 +39,6 @@ class TreeSettings:
     subsampling_rate: float = 0.8
     feature_subset: str = "0.8"
     min_instances_per_node: int = 1
-    validation_tol: float = 0.01
     seed: int = 42
 
 
@@ -45,16 +47,22 @@ V1_SETTINGS = TreeSettings()
 V3_SETTINGS = TreeSettings(max_iter=1000, max_depth=5, min_instances_per_node=3)
 
 
-def assemble(df: DataFrame, features: Sequence[str], out: str = "features", sentinel: float = SENTINEL) -> DataFrame:
-    """MDL4: features cast to double, NULL/NaN to the sentinel, then one
-    vector column (JVM ``VectorAssembler``)."""
-    from pyspark.ml.feature import VectorAssembler
+def assembler(features: Sequence[str], out: str = "features", sentinel: float = SENTINEL):
+    """MDL4: pipeline stages that cast features to double, put the sentinel
+    where they are NULL or NaN and gather them in one vector column.  The
+    filled copies are added beside the raw columns, so a fitted pipeline
+    scores any frame that carries the features, whatever else it holds."""
+    from pyspark.ml.feature import SQLTransformer, VectorAssembler
 
-    filled = df
-    for c in features:
-        v = F.col(c).cast("double")
-        filled = filled.withColumn(c, F.when(v.isNull() | F.isnan(v), F.lit(sentinel)).otherwise(v))
-    return VectorAssembler(inputCols=list(features), outputCol=out).transform(filled)
+    filled = [f"_filled_{i}" for i in range(len(features))]
+    fill = ", ".join(
+        f"CASE WHEN `{c}` IS NULL OR isnan(CAST(`{c}` AS DOUBLE)) THEN {sentinel} ELSE CAST(`{c}` AS DOUBLE) END AS `{f}`"
+        for c, f in zip(features, filled)
+    )
+    return [
+        SQLTransformer(statement=f"SELECT *, {fill} FROM __THIS__"),
+        VectorAssembler(inputCols=filled, outputCol=out),
+    ]
 
 
 def train(
@@ -65,29 +73,14 @@ def train(
     weight: str | None = "weight",
     split: str | None = "split",
 ):
-    """MDL2/MDL3: fit on ``split == 'train'`` rows, early-stopping on the
-    ``'val'`` rows when a split column is present.  Returns a
-    ``PipelineModel`` (assembler + trees) that scores raw feature columns."""
+    """MDL2/MDL3: fit on the ``split == 'train'`` rows (all rows without a
+    split column).  Returns a ``PipelineModel`` (assembler + trees) that
+    scores raw feature columns."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.feature import SQLTransformer, VectorAssembler
 
-    data = df
-    val_col = None
-    if split and split in df.columns:
-        data = df.where(F.col(split).isin("train", "val")).withColumn("_is_val", F.col(split) == "val")
-        val_col = "_is_val"
-    # Additive fill stage: the fitted pipeline scores any frame that carries
-    # the feature columns, whatever else it holds.
-    filled = [f"_filled_{i}" for i in range(len(features))]
-    fill = ", ".join(
-        f"CASE WHEN `{c}` IS NULL OR isnan(CAST(`{c}` AS DOUBLE)) THEN {SENTINEL} ELSE CAST(`{c}` AS DOUBLE) END AS `{f}`"
-        for c, f in zip(features, filled)
-    )
-    stages = [
-        SQLTransformer(statement=f"SELECT *, {fill} FROM __THIS__"),
-        VectorAssembler(inputCols=filled, outputCol="features"),
-    ]
+    data = df.where(F.col(split) == "train") if split and split in df.columns else df
+    stages = assembler(features)
     gbt = GBTClassifier(
         featuresCol="features",
         labelCol=label,
@@ -98,12 +91,9 @@ def train(
         featureSubsetStrategy=settings.feature_subset,
         minInstancesPerNode=settings.min_instances_per_node,
         seed=settings.seed,
-        validationTol=settings.validation_tol,
     )
     if weight and weight in df.columns:
         gbt.setWeightCol(weight)
-    if val_col:
-        gbt.setValidationIndicatorCol(val_col)
     stages.append(gbt)
     data = data.withColumn(label, F.col(label).cast("double"))
     return Pipeline(stages=stages).fit(data)
@@ -152,54 +142,33 @@ def score(df: DataFrame, model, prob: str = "sepsis_prob") -> DataFrame:
     return out.withColumn(prob, vector_to_array("probability")[1]).select(*keep, prob)
 
 
-_WORKER_MODELS: dict = {}
-
-
-class LinearScorer:
-    """A small picklable foreign model: logistic score of a linear function of
-    features (NULL features count as 0).  Stands in for any object with a
-    ``predict_proba(pandas.DataFrame) -> array`` method."""
-
-    def __init__(self, weights: dict, bias: float):
-        self.weights = dict(weights)
-        self.bias = float(bias)
-
-    def predict_proba(self, pdf):
-        import numpy as np
-
-        z = np.full(len(pdf), self.bias)
-        for c, w in self.weights.items():
-            z = z + w * pdf[c].astype("float64").fillna(0.0).to_numpy()
-        p1 = 1.0 / (1.0 + np.exp(-z))
-        return np.column_stack([1.0 - p1, p1])
-
-
 def score_foreign(
     df: DataFrame,
     model_factory,
     features: Sequence[str],
     prob: str = "sepsis_prob",
-    model_key: str = "default",
+    model_key: str | None = None,
 ) -> DataFrame:
-    """SCR1 for models Spark cannot run natively: Arrow-batched
-    ``mapInPandas`` (never row-at-a-time).  ``model_factory()`` builds the
-    model once per Python worker (cached under ``model_key``) and each batch
-    is scored with ``predict_proba``.  Spark partitions the rows; the model
-    only ever sees one batch."""
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
-    out_schema = StructType(list(df.schema.fields) + [StructField(prob, DoubleType(), True)])
+    """SCR1 for models Spark cannot run natively: an iterator Pandas UDF over
+    Arrow batches of the feature columns only (never row-at-a-time; other
+    columns stay in the JVM).  ``model_factory()`` builds the model once per
+    Python worker, whatever the number of tasks; by default the key it is kept
+    under is a digest of the factory, so two models never meet."""
+    from pyspark import cloudpickle
+
+    packed = cloudpickle.dumps(model_factory)
+    key = model_key or hashlib.sha256(packed).hexdigest()
     cols = list(features)
 
-    def run(batches):
-        model = _WORKER_MODELS.get(model_key)
-        if model is None:
-            model = _WORKER_MODELS[model_key] = model_factory()
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        from stayframe.operators.worker_models import model
+
+        held = model(key, cloudpickle.loads(packed))
         for pdf in batches:
-            pdf[prob] = model.predict_proba(pdf[cols])[:, 1] if len(pdf) else []
-            yield pdf
+            yield pd.Series(held.predict_proba(pdf[cols])[:, 1] if len(pdf) else [], dtype="float64")
 
-    return df.mapInPandas(run, out_schema)
+    scored = F.pandas_udf(run, "double")
+    return df.withColumn(prob, scored(F.struct(*[F.col(c) for c in cols])))
 
 
 def alert(df: DataFrame, threshold: float, prob: str = "sepsis_prob", out: str = "sepsis_alert", stamp: bool = True) -> DataFrame:

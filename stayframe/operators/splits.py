@@ -2,7 +2,10 @@
 
 Whole stays go to one split.  Stays are ranked with the distributed prefix
 sum (no single-partition window); cut positions use double arithmetic like
-``int(n * 0.70)`` (a decimal literal would round 90 * 0.70 up to 63).
+``int(n * 0.70)`` (a decimal literal would round 90 * 0.70 up to 63).  The
+input is read twice, to rank the stays and to take their split, so split a
+stored table (``splits`` of a Gold table read back), not a plan that computes
+one.
 """
 
 from __future__ import annotations

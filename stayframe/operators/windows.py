@@ -38,43 +38,32 @@ def window_bounds(df: DataFrame, cfg: WindowConfig, start: str = INTIME, with_st
     return df.withColumns(cols)
 
 
-GRID_CHUNK = 4096
+GRID_BLOCK = 4096
 
 
-def window_grid(cohort: DataFrame, cfg: WindowConfig, chunk: int = GRID_CHUNK) -> DataFrame:
+def window_count(cfg: WindowConfig, start: str = INTIME, end: str = OUTTIME):
+    """Full windows of a stay: ``max(1, floor(LOS / W))``, 1 where the length is unknown."""
+    full = F.floor(elapsed_micros(start, end) / F.lit(cfg.window_micros))
+    return F.greatest(F.lit(1), F.coalesce(full, F.lit(1)).cast("int"))
+
+
+def window_grid(cohort: DataFrame, cfg: WindowConfig, block: int = GRID_BLOCK) -> DataFrame:
     """WIN4: dense grid, ``n = max(1, floor(LOS / W))`` windows per stay.
 
-    Stays with a NULL length get one window; every stay is kept.  The grid is
-    generated without a join, in two levels: each stay first becomes one row
-    per block of ``chunk`` window indices, the blocks are hash-distributed
-    by (stay, block), then each block is exploded.  A stay with an enormous
-    length (a bad discharge time) is thus generated by many tasks, never as
-    one giant array in one task; the extra shuffle moves about one row per
-    stay.
+    Stays with a NULL length get one window; every stay is kept.  Every stay
+    goes the same way, without a join: it is exploded into blocks of window
+    indices, the blocks (about one row per stay) are dealt out by (stay,
+    block), and each is exploded into its indices, so an enormous length (a
+    bad discharge time) is built by many tasks and never as one giant array.
+    The count is explicit as AQE would merge the tiny block rows into one task.
     """
-    los = elapsed_micros(INTIME, OUTTIME)
-    n = F.greatest(F.lit(1), F.coalesce(F.floor(los / F.lit(cfg.window_micros)), F.lit(1)).cast("int"))
-    base = cohort.select(STAY, ADMISSION, INTIME, n.alias("_n"))
-    # Stays that fit in one block expand where they are (no shuffle).
-    short = base.where(F.col("_n") <= chunk).select(
-        STAY, ADMISSION, INTIME, F.explode(F.sequence(F.lit(0), F.col("_n") - F.lit(1))).alias(WINDOW)
-    )
-    # Longer stays: one row per block, redistributed, then expanded.  An
-    # explicit count because block rows are tiny and AQE would otherwise
-    # merge them into one task; AQE drops this branch when it is empty.
-    blocks = base.where(F.col("_n") > chunk).select(
-        STAY,
-        ADMISSION,
-        INTIME,
-        "_n",
-        F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - F.lit(1)) / F.lit(chunk)).cast("int"))).alias("_blk"),
-    )
-    parts = int(cohort.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = blocks.repartition(parts, STAY, "_blk")
-    lo = F.col("_blk") * F.lit(chunk)
-    hi = F.least(F.col("_n"), lo + F.lit(chunk)) - F.lit(1)
-    long_ = blocks.select(STAY, ADMISSION, INTIME, F.explode(F.sequence(lo, hi)).alias(WINDOW))
-    grid = short.unionByName(long_)
+    base = cohort.select(STAY, ADMISSION, INTIME, window_count(cfg).alias("_n"))
+    last = F.floor((F.col("_n") - F.lit(1)) / F.lit(block)).cast("int")
+    blocks = base.select("*", F.explode(F.sequence(F.lit(0), last)).alias("_blk"))
+    blocks = blocks.repartition(int(cohort.sparkSession.conf.get("spark.sql.shuffle.partitions")), STAY, "_blk")
+    lo = F.col("_blk") * F.lit(block)
+    hi = F.least(F.col("_n"), lo + F.lit(block)) - F.lit(1)
+    grid = blocks.select(STAY, ADMISSION, INTIME, F.explode(F.sequence(lo, hi)).alias(WINDOW))
     return window_bounds(grid, cfg, with_start=True).select(
         STAY, ADMISSION, INTIME, WINDOW, "window_start", "window_end"
     )
@@ -124,6 +113,7 @@ def replay_schedule(
     ).drop("_tmin")
     if with_delay:
         order = [F.col(ts).asc()] + [F.col(c).asc() for c in tiebreak]
+        # Callers pass only the columns they need: these rows are checkpointed.
         out = global_previous(out, order, [ts], prefix="_prev_")
         out = out.withColumn(
             "delay_seconds",

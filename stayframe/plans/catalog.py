@@ -38,12 +38,12 @@ def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
     as ISO ``yyyy-MM-dd`` text (the same on the SQL side)."""
     cols = []
     for f in df.schema.fields:
+        c = df[f"`{f.name}`"]  # a name may hold a dot
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(F.round(F.col(f.name), digits).alias(f.name))
+            c = F.round(c, digits)
         elif isinstance(f.dataType, DateType):
-            cols.append(F.col(f.name).cast("string").alias(f.name))
-        else:
-            cols.append(F.col(f.name))
+            c = c.cast("string")
+        cols.append(c.alias(f.name))
     return df.select(*cols)
 
 

@@ -6,13 +6,13 @@ Catalyst plan per table, no eager counts in between.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from stayframe.config import LABEL, STAY, WINDOW, WindowConfig
-from stayframe.operators.aggregates import lab_windows, silver_windows, vitals_by_window
+from stayframe.config import ITEM, LABEL, STAY, TIME, VALUE, WINDOW, WindowConfig
+from stayframe.operators.aggregates import BOUND, lab_windows, silver_windows, vitals_by_window
 from stayframe.operators.contracts import assert_contract, fill_flags, project
 from stayframe.operators.joins import attach_labels, attach_labs, fill_grid, join_blocks
-from stayframe.operators.temporal import assemble_v3
-from stayframe.operators.windows import temporal_attributes, window_grid
+from stayframe.operators.windows import parse_times, temporal_attributes, window_count, window_grid
 
 
 def gold_table(
@@ -30,7 +30,19 @@ def gold_table(
     ``keep_window`` also keeps ``window_id`` and ``window_date`` (partition
     key for the sink) after the contract columns.
     """
-    silver = silver_windows(vitals, stays, cfg)
+    return gold_from_silver(silver_windows(vitals, stays, cfg), labs, stays, labels, cfg, elapsed_at, keep_window)
+
+
+def gold_from_silver(
+    silver: DataFrame,
+    labs: DataFrame,
+    stays: DataFrame,
+    labels: DataFrame,
+    cfg: WindowConfig,
+    elapsed_at: str = "mid",
+    keep_window: bool = False,
+) -> DataFrame:
+    """Gold of a Silver table, computed or read back from where it was stored."""
     labw = lab_windows(labs, stays, cfg)
     j = attach_labels(attach_labs(silver, labw), labels)
     defaults = {f"lab_{i}_missing": 1 for i in cfg.lab_items}
@@ -62,8 +74,10 @@ def batch_matrix(
     if labels is None:  # label carried on the cohort, as in a cohort table
         labels = cohort.select(STAY, LABEL)
     grid = window_grid(cohort, cfg).select(STAY, WINDOW, "window_end")
-    v = vitals_by_window(vitals, cohort, cfg).drop("intime")
-    lw = lab_windows(labs, cohort, cfg)
+    # Readings past a stay's last full window never reach the aggregates.
+    bounded = cohort.withColumn(BOUND, window_count(cfg))
+    v = vitals_by_window(vitals, bounded, cfg).drop("intime")
+    lw = lab_windows(labs, bounded, cfg)
     m = join_blocks(fill_grid(grid, v), lw, how="left")
     defaults = {f"vital_{i}_missing": 1 for i in cfg.vital_items}
     defaults.update({f"lab_{i}_missing": 1 for i in cfg.lab_items})
@@ -75,6 +89,8 @@ def batch_matrix(
     return assert_contract(project(m, cols), cols, exact=True)
 
 
-def v3_features(gold: DataFrame, cfg: WindowConfig) -> DataFrame:
-    """63-feature table (plus keys) from a Gold-shaped table."""
-    return assemble_v3(gold, cfg)
+def bronze_readings(bronze: DataFrame, event_type: str) -> DataFrame:
+    """Well-formed readings of one event type from the stored Bronze table,
+    with parsed times (WIN1): ``stay_id, charttime, itemid, valuenum``."""
+    good = bronze.where((F.col("event_type") == event_type) & ~F.col("is_malformed"))
+    return parse_times(good.select(STAY, TIME, ITEM, VALUE))

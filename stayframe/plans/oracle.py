@@ -55,8 +55,7 @@ vitals AS (
 labs AS (
   SELECT o.o_custkey AS hadm_id, l.l_shipdate AS charttime, l.l_linenumber AS itemid,
          l.l_extendedprice AS valuenum
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  WHERE l.l_linenumber IN ({in_list(M.LINEITEM_LABS)})),
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
 patients AS (SELECT c_custkey AS subject_id, c_acctbal / 100.0 AS anchor_age FROM customer)"""
 
 MAPPING_CTES = {"events": EVENTS_CTES, "lineitem": LINEITEM_CTES}

@@ -32,6 +32,12 @@ def scored_gold(spark, sf_dir, m):
     return alert(rule_score(g, x.cfg, SCORE_SCALE[m]), THRESHOLD, stamp=False), x
 
 
+def _stored_gold(spark, sf_dir, m):
+    """Keys and label of Gold, stored once, as splits read their input more than once."""
+    g, _ = scored_gold(spark, sf_dir, m)
+    return g.select(STAY, "window_end", LABEL).checkpoint()
+
+
 def _score_sql(m) -> str:
     cfg = Q.MAPPING_CFG[m]
     mean = "coalesce(" + ", ".join(f"vital_{i}_mean" for i in cfg.vital_items) + ", 0.0)"
@@ -84,8 +90,7 @@ ranking AS (
 for _m in ("events", "lineitem"):
 
     def _spl1(spark, sf_dir, m=_m):
-        g, _ = scored_gold(spark, sf_dir, m)
-        return temporal_split(g.select(STAY, "window_end", LABEL))
+        return temporal_split(_stored_gold(spark, sf_dir, m))
 
     register(
         f"SPL1_temporal_split_{_m}",
@@ -168,8 +173,7 @@ thr AS (
 
 
 def _spl2(spark, sf_dir):
-    g, _ = scored_gold(spark, sf_dir, "lineitem")
-    return id_split(g.select(STAY, "window_end", LABEL))
+    return id_split(_stored_gold(spark, sf_dir, "lineitem"))
 
 
 register(
@@ -187,7 +191,8 @@ cuts AS (
     ),
 )(_spl2)
 
-_TEMPORAL_CUTS = """
+
+TEMPORAL_CUTS = """
 firsts AS (SELECT stay_id, min(window_end) AS first_end FROM gold GROUP BY stay_id),
 ranked AS (SELECT stay_id, row_number() OVER (ORDER BY first_end, stay_id) - 1 AS rnk, count(*) OVER () AS n FROM firsts),
 cuts AS (
@@ -211,15 +216,14 @@ register(
        count(*) FILTER (WHERE sepsis_label = 1) AS n_positive,
        100.0 * count(*) FILTER (WHERE sepsis_label = 1) / count(*) AS pct_positive
 FROM sp GROUP BY split""",
-        _TEMPORAL_CUTS,
+        TEMPORAL_CUTS,
     ),
     ["pct_positive"],
 )(_spl3)
 
 
 def _mdl1(spark, sf_dir):
-    g, _ = scored_gold(spark, sf_dir, "lineitem")
-    return with_class_weight(temporal_split(g.select(STAY, "window_end", LABEL)))
+    return with_class_weight(temporal_split(_stored_gold(spark, sf_dir, "lineitem")))
 
 
 register(
@@ -229,7 +233,7 @@ register(
         """SELECT s.stay_id, s.window_end, s.sepsis_label, s.split, w.spw AS scale_pos_weight,
        CASE WHEN s.sepsis_label = 1 THEN w.spw ELSE 1.0 END AS weight
 FROM sp s CROSS JOIN w""",
-        _TEMPORAL_CUTS
+        TEMPORAL_CUTS
         + """,
 w AS (
   SELECT COALESCE(CAST(count(*) FILTER (WHERE sepsis_label = 0) AS DOUBLE)
@@ -261,9 +265,10 @@ register(
 
 
 def _scr3(spark, sf_dir):
-    p, x = scored_gold(spark, sf_dir, "lineitem")
-    n = gold_table(x.vitals, x.labs, x.stays, x.labels, x.cfg).groupBy().count()
-    return check_predictions(p, n)
+    x = inputs(spark, sf_dir, "lineitem")
+    gold = gold_table(x.vitals, x.labs, x.stays, x.labels, x.cfg).checkpoint()
+    scored = alert(rule_score(gold, x.cfg, SCORE_SCALE["lineitem"]), THRESHOLD, stamp=False)
+    return check_predictions(scored, gold.groupBy().count())
 
 
 register(

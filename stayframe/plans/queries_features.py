@@ -136,9 +136,8 @@ def _ord1(spark, sf_dir):
     o = table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate", "o_totalprice"])
     o = o.withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("long"))
     order = [F.col("o_orderdate").asc(), F.col("o_orderkey").asc()]
-    r = global_prefix(o, order, ["cents"])
-    r = global_rank(r, order, name="position")
-    return r.select("o_orderkey", "o_orderdate", "position", F.col("cents_cum").alias("running_cents"))
+    r = global_prefix(o.select("o_orderkey", "o_orderdate", "cents", F.lit(1).cast("long").alias("one")), order, ["cents", "one"])
+    return r.select("o_orderkey", "o_orderdate", (F.col("one_cum") - 1).alias("position"), F.col("cents_cum").alias("running_cents"))
 
 
 register(
@@ -153,7 +152,7 @@ FROM orders""",
 
 # WIN7 ------------------------------------------------------------------------
 def _win7(spark, sf_dir):
-    ev = table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value"])
+    ev = table(spark, sf_dir, "events", ["event_id", "ts"])
     return replay_schedule(ev, 100.0, ts="ts", tiebreak=["event_id"]).select(
         "event_id", "ts", "emit_offset_seconds", "delay_seconds"
     )
@@ -172,13 +171,19 @@ FROM events""",
 
 # SRT1 / SRT2 / SRT3 / SET1 ---------------------------------------------------
 def _srt1(spark, sf_dir):
+    from stayframe.operators.ordering import global_position
+
     x = inputs(spark, sf_dir, "events")
-    return sort_rows(x.vitals, TIME, STAY)
+    return global_position(sort_rows(x.vitals, TIME, STAY, "itemid", "valuenum"))
 
 
 register(
     "SRT1_sort_events",
-    Q.with_mapping("events", "SELECT * FROM vitals ORDER BY charttime, stay_id", pipeline=False),
+    Q.with_mapping(
+        "events",
+        "SELECT *, row_number() OVER (ORDER BY charttime, stay_id, itemid, valuenum NULLS FIRST) - 1 AS position FROM vitals",
+        pipeline=False,
+    ),
     ["valuenum"],
 )(_srt1)
 
@@ -563,8 +568,7 @@ def _jon6(spark, sf_dir):
 
     x = inputs(spark, sf_dir, "events")
     s = silver_windows(x.vitals, x.stays, x.cfg).select(STAY, WINDOW)
-    known = x.labels.where(F.col(STAY) % 3 != 0)
-    return attach_labels(s, known)
+    return attach_labels(s, x.labels)
 
 
 register(
@@ -572,6 +576,6 @@ register(
     Q.with_mapping(
         "events",
         """SELECT s.stay_id, s.window_id, lb.sepsis_label, lb.stay_id IS NOT NULL AS label_known
-FROM silver s LEFT JOIN (SELECT * FROM labels WHERE stay_id % 3 <> 0) lb ON s.stay_id = lb.stay_id""",
+FROM silver s LEFT JOIN labels lb ON s.stay_id = lb.stay_id""",
     ),
 )(_jon6)

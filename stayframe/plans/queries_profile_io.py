@@ -8,6 +8,8 @@ shared ``spark.checkpoint.dir``; their SQL twin checks what is read back.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -23,8 +25,10 @@ from stayframe.operators.profile import (
     value_counts,
 )
 from stayframe.operators.scoring import (
-    TreeSettings,
+    V1_SETTINGS,
+    V3_SETTINGS,
     alert,
+    check_predictions,
     importances,
     load_model,
     save_model,
@@ -32,17 +36,19 @@ from stayframe.operators.scoring import (
     train,
 )
 from stayframe.operators.splits import temporal_split, with_class_weight
-from stayframe.operators.subgroups import subgroup_report
-from stayframe.operators.joins import attach_patients
+from stayframe.operators.subgroups import format_report, subgroup_report
+from stayframe.operators.aggregates import silver_windows
+from stayframe.operators.joins import attach_patients, labs_for_stays
+from stayframe.operators.ordering import with_scalars
 from stayframe.operators.temporal import assemble_v3
 from stayframe.operators.windows import calendar_parts
 from stayframe.plans import oracle as Q
 from stayframe.plans.catalog import REGISTRY, gold_doubles, inputs, register, silver_doubles
-from stayframe.plans.mappings import EVENTS_CFG, LINEITEM_CFG, table
-from stayframe.plans.medallion import gold_table
-from stayframe.plans.queries_eval import THRESHOLD, scored_gold
+from stayframe.plans.mappings import EVENTS_CFG, LINEITEM_CFG, SCORE_SCALE, rule_score, table
+from stayframe.plans.medallion import bronze_readings, gold_from_silver, gold_table
+from stayframe.plans.queries_eval import TEMPORAL_CUTS, THRESHOLD, _score_sql, scored_gold
 from stayframe.plans.queries_features import _iso_sql
-from stayframe.session import scratch_path
+from stayframe.session import remove_scratch, scratch_path
 from stayframe.sources.events import EVENT_SCHEMA, parse_events, to_event_json
 from stayframe.sources.sinks import verify_written, write_report_csv, write_table
 from stayframe.sources.tables import land_measurements, read_csv, read_table
@@ -54,6 +60,14 @@ def sround(expr: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 12)), {digits}) AS DOUBLE)"
 
 
+def _taken(spark, df, path):
+    """What was read back from a scratch folder, pinned by a checkpoint (which
+    Spark removes with its last reference); the folder goes at once."""
+    pinned = df.checkpoint()
+    remove_scratch(spark, path)
+    return pinned
+
+
 # AGG7 / AGG8 / AGG9 / AGG10 / AGG11 / AGG12 / AGG14 ----------------------------
 def _agg7(spark, sf_dir):
     return value_counts(inputs(spark, sf_dir, "lineitem").vitals, ITEM)
@@ -163,10 +177,35 @@ GROUP BY sepsis_label, bin, lo, hi""",
 
 def _agg12(spark, sf_dir):
     x = inputs(spark, sf_dir, "events")
-    return density(x.vitals, VALUE, [ITEM], grid_points=100)
+    return density(x.vitals, VALUE, [ITEM], GRID_POINTS)
+
 
+# Points of a density grid, as published.
+GRID_POINTS = 1000
+register(
+    "AGG12_density_events",
+    Q.with_mapping(
+        "events",
+        f"""SELECT p.itemid, p.grid_index, p.x,
+       sum(c.k * exp(-0.5 * power((p.x - c.v) / p.bw, 2))) * {1.0 / math.sqrt(2 * math.pi)!r} / (max(p.n) * max(p.bw)) AS density
+FROM points p JOIN counts c USING (itemid) GROUP BY p.itemid, p.grid_index, p.x""",
+        f"""
+counts AS (
+  SELECT itemid, CAST(valuenum AS DOUBLE) AS v, CAST(count(*) AS DOUBLE) AS k FROM vitals
+  WHERE valuenum IS NOT NULL AND NOT isnan(valuenum) GROUP BY 1, 2),
+stats AS (
+  SELECT itemid, count(*) AS n, min(valuenum) AS lo, max(valuenum) AS hi,
+         stddev_samp(valuenum) * power(count(*), -0.2) AS bw
+  FROM vitals WHERE valuenum IS NOT NULL AND NOT isnan(valuenum) GROUP BY itemid),
+points AS (
+  SELECT itemid, n, bw, CAST(g AS INTEGER) AS grid_index,
+         lo - (hi - lo) / 2.0 + 2.0 * (hi - lo) / {float(GRID_POINTS - 1)} * g AS x
+  FROM stats, range({GRID_POINTS}) r(g))""",
+        pipeline=False,
+    ),
+    ["x", "density"],
+)(_agg12)
 
-register("AGG12_density_events")(_agg12)
 
 
 def _agg14(spark, sf_dir):
@@ -200,17 +239,19 @@ register(
 
 def _coh2(spark, sf_dir):
     o = table(spark, sf_dir, "orders", ["o_custkey", "o_orderpriority"])
-    diag = o.select(
-        F.col("o_custkey").alias(ADMISSION), F.col("o_orderpriority").alias("icd_code"), F.lit(10).alias("icd_version")
-    )
+    version = F.when(F.col("o_custkey") % 2 == 0, 10).otherwise(9)
+    diag = o.select(F.col("o_custkey").alias(ADMISSION), F.col("o_orderpriority").alias("icd_code"), version.alias("icd_version"))
     adm = table(spark, sf_dir, "customer", ["c_custkey"]).select(F.col("c_custkey").alias(ADMISSION))
-    return label_by_code(diag, adm, {10: ("1-", "2-"), 9: ("99591", "99592")})
+    return label_by_code(diag, adm, {10: ("1-", "2-"), 9: ("3-",)})
 
 
 register(
     "COH2_label_by_code_orders",
     """SELECT c.c_custkey AS hadm_id,
-       CAST(CASE WHEN c.c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority LIKE '1-%' OR o_orderpriority LIKE '2-%')
+       CAST(CASE WHEN c.c_custkey IN (
+              SELECT o_custkey FROM orders
+              WHERE CASE WHEN o_custkey % 2 = 0 THEN o_orderpriority LIKE '1-%' OR o_orderpriority LIKE '2-%'
+                         ELSE o_orderpriority LIKE '3-%' END)
                  THEN 1 ELSE 0 END AS INTEGER) AS sepsis_label
 FROM customer c""",
 )(_coh2)
@@ -233,9 +274,10 @@ def _src6(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     path = scratch_path(spark, "csv-events")
     fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    ev.write.mode("overwrite").option("header", "true").option("timestampNTZFormat", fmt).csv(path)
+    writer = ev.write.option("header", "true").option("compression", "gzip").option("timestampNTZFormat", fmt)
+    writer.csv(path)  # .csv.gz files
     schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
-    return read_csv(spark, path, schema, timestamp_ntz_format=fmt)
+    return _taken(spark, read_csv(spark, path, schema, timestamp_ntz_format=fmt), path)
 
 
 register("SRC6_csv_roundtrip_events", "SELECT * FROM events", ["value"])(_src6)
@@ -244,7 +286,8 @@ register("SRC6_csv_roundtrip_events", "SELECT * FROM events", ["value"])(_src6)
 def _src7(spark, sf_dir):
     x = inputs(spark, sf_dir, "lineitem")
     keep = x.labels.where(F.col(LABEL) == 1)
-    return land_measurements(x.vitals, keep, x.cfg.vital_items, scratch_path(spark, "landed"))
+    path = scratch_path(spark, "landed")
+    return _taken(spark, land_measurements(x.vitals, keep, x.cfg.vital_items, path), path)
 
 
 register(
@@ -302,11 +345,10 @@ FROM vitals""",
 
 def _snk1(spark, sf_dir):
     x = inputs(spark, sf_dir, "events")
-    from stayframe.operators.aggregates import silver_windows
 
     path = scratch_path(spark, "silver")
     write_table(silver_windows(x.vitals, x.stays, x.cfg), path, partition_by="window_date")
-    return spark.read.parquet(path)
+    return _taken(spark, spark.read.parquet(path), path)
 
 
 register(
@@ -321,133 +363,182 @@ def _snk2(spark, sf_dir):
     x = inputs(spark, sf_dir, "lineitem")
     path = scratch_path(spark, "gold")
     write_table(gold_table(x.vitals, x.labs, x.stays, x.labels, x.cfg), path)
-    return spark.read.parquet(path)
+    return _taken(spark, spark.read.parquet(path), path)
 
 
 register("SNK2_write_read_lineitem", REGISTRY["GOLD_lineitem"].sql, gold_doubles(LINEITEM_CFG))(_snk2)
 
 
+# The published report: eight columns, rates as text.
+REPORT_COLUMNS = ["Subgroup", "n_windows", "sepsis_rate", "AUROC", "AUPRC", f"Recall@{THRESHOLD}", f"Precision@{THRESHOLD}", "Alert_rate"]
+REPORT_SCHEMA = ", ".join(f"`{c}` {'long' if c == 'n_windows' else 'string'}" for c in REPORT_COLUMNS)
+
+
+def _published(spark, report):
+    """A subgroup report written in its published form and read back."""
+    path = scratch_path(spark, "report")
+    write_report_csv(format_report(report, THRESHOLD), path)
+    return _taken(spark, read_csv(spark, path, REPORT_SCHEMA), path)
+
+
+def published_sql(report_sql: str) -> str:
+    pct = lambda c: f"format('{{:.1f}}%', {sround(f'{c} * 100.0', 1)})"
+    three = lambda c: f"format('{{:.3f}}', {sround(c, 3)})"
+    return f"""SELECT subgroup AS "Subgroup", n_windows, {pct('sepsis_rate')} AS sepsis_rate,
+       {three('auroc')} AS "AUROC", {three('auprc')} AS "AUPRC", {pct('recall')} AS "Recall@{THRESHOLD}",
+       {pct('precision')} AS "Precision@{THRESHOLD}", {pct('alert_rate')} AS "Alert_rate"
+FROM ({report_sql}) report"""
+
+
 def _snk3(spark, sf_dir):
     p, x = scored_gold(spark, sf_dir, "lineitem")
-    rep = subgroup_report(attach_patients(p, x.stays, x.patients), THRESHOLD)
-    path = scratch_path(spark, "report")
-    write_report_csv(rep, path)
-    schema = (
-        "subgroup string, report_order int, n_windows long, sepsis_rate double, auroc double, auprc double, "
-        "recall double, precision double, alert_rate double"
-    )
-    return read_csv(spark, path, schema)
+    return _published(spark, subgroup_report(attach_patients(p, x.stays, x.patients), THRESHOLD))
 
 
-register(
-    "SNK3_report_csv_lineitem",
-    REGISTRY["SUB1_subgroup_report_lineitem"].sql,
-    ["sepsis_rate", "auroc", "auprc", "recall", "precision", "alert_rate"],
-)(_snk3)
+register("SNK3_report_csv_lineitem", published_sql(REGISTRY["SUB1_subgroup_report_lineitem"].sql))(_snk3)
+
+
+def _gold_types(cfg):
+    kinds = {c: "int" if c.endswith("_missing") or c in ("time_of_day", LABEL) else "double" for c in cfg.gold_columns()}
+    return {**kinds, STAY: "bigint", "window_end": "timestamp_ntz"}
 
 
 def _snk5(spark, sf_dir):
     x = inputs(spark, sf_dir, "lineitem")
     path = scratch_path(spark, "gold-check")
     write_table(gold_table(x.vitals, x.labs, x.stays, x.labels, x.cfg), path)
-    return verify_written(spark, path, expected_columns=x.cfg.gold_columns())
+    checked = verify_written(spark, path, expected_columns=x.cfg.gold_columns(), expected_types=_gold_types(x.cfg), label=LABEL)
+    return _taken(spark, checked, path)
 
 
 register(
     "SNK5_verify_written_lineitem",
     Q.with_mapping(
         "lineitem",
-        f"SELECT count(*) AS n_rows, {len(LINEITEM_CFG.gold_columns())} AS n_columns, true AS columns_ok FROM gold",
+        f"""SELECT count(*) AS n_rows, {len(LINEITEM_CFG.gold_columns())} AS n_columns, true AS columns_ok, true AS types_ok,
+       count(*) FILTER (WHERE sepsis_label = 0) AS n_label_0, count(*) FILTER (WHERE sepsis_label = 1) AS n_label_1,
+       count(*) FILTER (WHERE sepsis_label IS NULL) AS n_label_null FROM gold""",
     ),
 )(_snk5)
 
 
 # Streaming Bronze (SRC1, SRC3, SRC4) --------------------------------------------
-def _bronze(spark, sf_dir):
-    """Event messages of mapping A land as text files; the stream ingests them
-    to Bronze with an ``availableNow`` trigger; Bronze is read back."""
-    x = inputs(spark, sf_dir, "events")
-    root = scratch_path(spark, "bronze-run")
-    msgs = to_event_json(x.vitals, "vital").unionByName(
-        to_event_json(x.labs.withColumnRenamed(ADMISSION, STAY), "lab")
-    )
-    msgs.select("value").write.mode("overwrite").text(f"{root}/landing")
+def _bronze(spark, x, root):
+    """Event messages of a mapping land as text files, labs resolved to stays
+    first; the stream ingests them to Bronze with an ``availableNow`` trigger."""
+    labs = labs_for_stays(x.labs, x.stays, x.stays)
+    msgs = to_event_json(x.vitals, "vital").unionByName(to_event_json(labs, "lab"))
+    msgs.select("value").write.text(f"{root}/landing")
     q = ingest(spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint", schema=event_schema(StringType()))
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/bronze")
+    return spark.read.parquet(f"{root}/bronze").withColumn("is_stamped", F.col("ingestion_timestamp").isNotNull())
 
 
-register("SRC4_bronze_stream_events")(_bronze)
-
-
-def _bronze_fields(spark, sf_dir):
-    return _bronze(spark, sf_dir).select(STAY, TIME, ITEM, VALUE, "event_type", "is_malformed")
+def _bronze_rows(spark, sf_dir):
+    root = scratch_path(spark, "bronze-run")
+    rows = _bronze(spark, inputs(spark, sf_dir, "events"), root)
+    return _taken(spark, rows.select(STAY, TIME, ITEM, VALUE, "event_type", "is_malformed", "is_stamped"), root)
 
 
-register(
-    "SRC1_SRC3_stream_decode_events",
-    Q.with_mapping(
-        "events",
-        f"""SELECT stay_id, {_iso_sql('charttime')} AS charttime, itemid, valuenum, 'vital' AS event_type, false AS is_malformed
+_BRONZE_SQL = f"""SELECT stay_id, {_iso_sql('charttime')} AS charttime, itemid, valuenum, 'vital' AS event_type,
+       false AS is_malformed, true AS is_stamped
 FROM vitals
 UNION ALL
-SELECT hadm_id, {_iso_sql('charttime')}, itemid, valuenum, 'lab', false FROM labs""",
-        pipeline=False,
-    ),
-    ["valuenum"],
-)(_bronze_fields)
-
-
-# Model (MDL2-MDL6, SCR1) ---------------------------------------------------------
-# The registered model queries train a short forest (20 trees) so the check
-# run stays quick; ``V1_SETTINGS`` / ``V3_SETTINGS`` hold the full settings.
-CHECK_SETTINGS = TreeSettings(max_iter=20, max_depth=5, min_instances_per_node=3)
-_MODELS: dict = {}
-
-
-def _training_frame(spark, sf_dir):
-    x = inputs(spark, sf_dir, "lineitem")
-    g = gold_table(x.vitals, x.labs, x.stays, x.labels, x.cfg)
-    f = with_class_weight(temporal_split(assemble_v3(g, x.cfg)))
-    return f, x.cfg.v3_feature_columns()
+SELECT s.stay_id, {_iso_sql('l.charttime')}, l.itemid, l.valuenum, 'lab', false, true
+FROM labs l JOIN stays s ON l.hadm_id = s.hadm_id"""
+for _name in ("SRC1_SRC3_stream_decode_events", "SRC4_bronze_stream_events"):
+    register(_name, Q.with_mapping("events", _BRONZE_SQL, pipeline=False), ["valuenum"])(_bronze_rows)
 
 
-def _model(spark, sf_dir):
-    key = (sf_dir, id(spark))
-    if key not in _MODELS:
-        f, cols = _training_frame(spark, sf_dir)
-        _MODELS[key] = (train(f, cols, CHECK_SETTINGS), f, cols)
-    return _MODELS[key]
+def _medallion(spark, sf_dir):
+    """Landed messages to stored Bronze, stored Silver by date, and Gold of what was stored."""
+    x = inputs(spark, sf_dir, "events")
+    root = scratch_path(spark, "medallion")
+    bronze = _bronze(spark, x, root)
+    silver_path = f"{root}/silver"
+    write_table(silver_windows(bronze_readings(bronze, "vital"), x.stays, x.cfg), silver_path, partition_by="window_date")
+    silver = spark.read.parquet(silver_path)
+    gold = gold_from_silver(silver, bronze_readings(bronze, "lab"), x.stays, x.labels, x.cfg)
+    return _taken(spark, gold, root)
 
 
-def _mdl2(spark, sf_dir):
-    model, f, _ = _model(spark, sf_dir)
-    scored = score(f.where(F.col("split") == "test"), model)
-    return alert(scored, THRESHOLD, stamp=False).select(STAY, "window_end", LABEL, "sepsis_prob", "sepsis_alert")
+register("MEDALLION_bronze_silver_gold_events", REGISTRY["GOLD_events"].sql, gold_doubles(EVENTS_CFG))(_medallion)
 
 
-register("MDL2_MDL3_train_score_lineitem")(_mdl2)
+def _predictions(spark, sf_dir):
+    """The predictions job: stored Gold, score, alert and stamp, checks, sink, read back."""
+    x = inputs(spark, sf_dir, "lineitem")
+    root = scratch_path(spark, "predictions")
+    write_table(gold_table(x.vitals, x.labs, x.stays, x.labels, x.cfg), f"{root}/gold")
+    gold = spark.read.parquet(f"{root}/gold")
+    scored = alert(rule_score(gold, x.cfg, SCORE_SCALE["lineitem"]), THRESHOLD)
+    write_table(scored.withColumn("sepsis_prob", F.round("sepsis_prob", 6)), f"{root}/predictions")
+    stored = spark.read.parquet(f"{root}/predictions")
+    checks = check_predictions(stored, gold.groupBy().count()).select("row_count_ok", "prob_range_ok", "alert_values_ok")
+    out = with_scalars(stored, checks).withColumn("is_stamped", F.col("predicted_at").isNotNull())
+    return _taken(spark, out.select(STAY, "window_end", LABEL, "sepsis_prob", "sepsis_alert", "is_stamped", "row_count_ok", "prob_range_ok", "alert_values_ok"), root)
 
 
-def _mdl5(spark, sf_dir):
-    model, _, cols = _model(spark, sf_dir)
-    return importances(model, cols, 15)
+register(
+    "PREDICTIONS_job_lineitem",
+    Q.with_mapping(
+        "lineitem",
+        """SELECT stay_id, window_end, sepsis_label, round(sepsis_prob, 6) AS sepsis_prob, sepsis_alert, true AS is_stamped,
+       true AS row_count_ok, true AS prob_range_ok, true AS alert_values_ok FROM pred""",
+        _score_sql("lineitem"),
+    ),
+    ["sepsis_prob"],
+)(_predictions)
 
 
-register("MDL5_importances_lineitem")(_mdl5)
+# Model (MDL2-MDL6, SCR1) ---------------------------------------------------------
+def _training_frame(spark, sf_dir):
+    x = inputs(spark, sf_dir, "lineitem")
+    g = gold_table(x.vitals, x.labs, x.stays, x.labels, x.cfg)
+    features = assemble_v3(g, x.cfg).checkpoint()  # read again by the ranks, the split and every round of training
+    return with_class_weight(temporal_split(features)).checkpoint(), x.cfg.v3_feature_columns()
 
 
-def _mdl6(spark, sf_dir):
-    model, f, cols = _model(spark, sf_dir)
+def _model_rows(spark, sf_dir, settings):
+    """Train with the full settings, save and reload the model, score every
+    row with both, and state what must hold of the model and its importances."""
+    f, cols = _training_frame(spark, sf_dir)
+    model = train(f, cols, settings)
     path = scratch_path(spark, "model")
     save_model(model, cols, path)
-    loaded, cols2 = load_model(spark, path)
-    test = f.where(F.col("split") == "test")
-    a = score(test, model).select(STAY, "window_end", F.col("sepsis_prob").alias("prob_saved"))
-    b = score(test, loaded).select(STAY, "window_end", F.col("sepsis_prob").alias("prob_loaded"))
-    return a.join(b, [STAY, "window_end"]).withColumn("same", F.col("prob_saved") == F.col("prob_loaded")).withColumn(
-        "contract_ok", F.lit(cols2 == cols)
+    loaded, names = load_model(spark, path)
+    trained = score(f, model, "prob_trained")
+    both = alert(score(trained, loaded), THRESHOLD)
+    top = importances(model, cols, 15).withColumn("at", F.monotonically_increasing_id())
+    known = F.count_if(F.col("feature").isin(cols)) == 15
+    top = top.agg(
+        (known & (F.count_distinct("feature") == 15)).alias("top_known"),
+        (F.array_sort(F.collect_list(F.struct("at", "importance")))["importance"] == F.sort_array(F.collect_list("importance"), asc=False)).alias("top_ordered"),
     )
-
-
-register("MDL6_SCR1_save_load_score_lineitem")(_mdl6)
+    rows = with_scalars(both, top).select(
+        STAY,
+        "window_end",
+        "split",
+        LABEL,
+        F.col("sepsis_prob").between(0.0, 1.0).alias("prob_ok"),
+        (F.col("sepsis_alert") == (F.col("sepsis_prob") >= THRESHOLD).cast("int")).alias("alert_ok"),
+        F.col("predicted_at").isNotNull().alias("is_stamped"),
+        (F.col("sepsis_prob") == F.col("prob_trained")).alias("reload_ok"),
+        F.lit(names == cols).alias("contract_ok"),
+        F.lit(model.stages[-1].getNumTrees).alias("n_trees"),
+        "top_known",
+        "top_ordered",
+    )
+    return _taken(spark, rows, path)
+
+
+for _version, _settings in (("MDL2_MDL4_MDL5_MDL6_v1", V1_SETTINGS), ("MDL3_MDL4_MDL5_MDL6_v3", V3_SETTINGS)):
+    register(
+        f"{_version}_lineitem",
+        Q.with_mapping(
+            "lineitem",
+            f"""SELECT stay_id, window_end, split, sepsis_label, true AS prob_ok, true AS alert_ok, true AS is_stamped, true AS reload_ok,
+       true AS contract_ok, {_settings.max_iter} AS n_trees, true AS top_known, true AS top_ordered FROM sp""",
+            TEMPORAL_CUTS,
+        ),
+    )(lambda spark, sf_dir, s=_settings: _model_rows(spark, sf_dir, s))

@@ -65,12 +65,15 @@ def read_events(
 def parse_events(df: DataFrame, schema: StructType = EVENT_SCHEMA, keep_raw: bool = True) -> DataFrame:
     """Decode the ``value`` text with a fixed schema and flatten it (SRC2).
 
-    Malformed text decodes to all-NULL fields; the row is kept with its raw
+    A message that is no JSON object, has no field of the schema, or holds a
+    field that does not fit its type is kept with what could be read, its raw
     text in ``_raw`` and ``is_malformed`` set, so nothing is silently lost.
     A bare ``NaN`` number becomes NULL.
     """
     raw = F.col("value").cast("string")
-    parsed = df.select(raw.alias("_raw"), F.from_json(raw, schema).alias("_d"))
+    corrupt = "_corrupt"
+    full = StructType([*schema.fields, StructField(corrupt, StringType(), True)])
+    parsed = df.select(raw.alias("_raw"), F.from_json(raw, full, {"columnNameOfCorruptRecord": corrupt}).alias("_d"))
     fields = []
     for f in schema.fields:
         c = F.col(f"_d.{f.name}")
@@ -81,7 +84,8 @@ def parse_events(df: DataFrame, schema: StructType = EVENT_SCHEMA, keep_raw: boo
     for f in schema.fields:
         term = F.col(f"_d.{f.name}").isNull()
         all_null = term if all_null is None else (all_null & term)
-    out = parsed.select(*fields, (F.col("_d").isNull() | all_null).alias("is_malformed"), "_raw")
+    bad = F.col("_d").isNull() | F.col(f"_d.{corrupt}").isNotNull() | all_null
+    out = parsed.select(*fields, bad.alias("is_malformed"), "_raw")
     if not keep_raw:
         out = out.drop("_raw")
     return out

@@ -9,7 +9,7 @@ holds too many rows across several writers.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,16 +51,25 @@ def verify_written(
     path: str,
     format: str = "parquet",
     expected_columns: Sequence[str] | None = None,
+    expected_types: Mapping[str, str] | None = None,
+    label: str | None = None,
 ) -> DataFrame:
     """Read a written table back and return one summary row (SNK5):
-    ``n_rows``, ``n_columns`` and ``columns_ok`` against the expectation."""
+    ``n_rows``, ``n_columns``, ``columns_ok`` and ``types_ok`` against the
+    expectation and, with ``label``, the rows per label value (0, 1, NULL)."""
     df = spark.read.format(format).load(path)
-    cols = df.columns
+    cols, types = df.columns, dict(df.dtypes)
     ok = expected_columns is None or list(expected_columns) == [
         c for c in cols if c in set(expected_columns)
     ]
-    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-        "n_rows",
-        F.lit(len(cols)).alias("n_columns"),
-        F.lit(bool(ok)).alias("columns_ok"),
+    types_ok = all(types.get(c) == t for c, t in (expected_types or {}).items())
+    counts = [F.count(F.lit(1)).alias("n_rows")]
+    if label:
+        counts += [
+            F.count_if(F.col(label) == 0).alias("n_label_0"),
+            F.count_if(F.col(label) == 1).alias("n_label_1"),
+            F.count_if(F.col(label).isNull()).alias("n_label_null"),
+        ]
+    return df.agg(*counts).withColumns(
+        {"n_columns": F.lit(len(cols)), "columns_ok": F.lit(bool(ok)), "types_ok": F.lit(types_ok)}
     )

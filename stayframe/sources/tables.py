@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stayframe.config import STAY
+from stayframe.config import STAY, TIME
 
 
 def read_table(
@@ -23,16 +23,9 @@ def read_table(
     columns: Sequence[str] | None = None,
     schema: StructType | str | None = None,
     options: dict | None = None,
-    min_partitions: int | None = None,
 ) -> DataFrame:
-    """Load a table and project it (SRC5 / SRC8).
-
-    ``min_partitions``: when the file layout yields fewer input splits than
-    this (one row group, an unsplittable file) and the input is bigger than
-    Spark's small-file cost (``spark.sql.files.openCostInBytes``), spread
-    the rows round-robin so the first stage uses every core.  Large inputs
-    split into many more partitions and are left exactly as scanned (no
-    extra shuffle); small ones stay whole (they are broadcast or cheap)."""
+    """Load a table and project it (SRC5 / SRC8); Spark alone decides the
+    input splits (``spark.sql.files.maxPartitionBytes``, ``minPartitionNum``)."""
     reader = spark.read.format(format)
     if schema is not None:
         reader = reader.schema(schema)
@@ -41,15 +34,6 @@ def read_table(
     df = reader.load(path)
     if columns:
         df = df.select(*columns)
-    if min_partitions:
-        try:
-            splits = df.rdd.getNumPartitions()
-            est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        except Exception:  # sessions without RDD / JVM access: leave the scan as is
-            return df
-        small = int(spark.conf.get("spark.sql.files.openCostInBytes", "4194304").rstrip("b"))
-        if splits < min_partitions and est > small:
-            df = df.repartition(int(min_partitions))
     return df
 
 
@@ -78,10 +62,12 @@ def land_measurements(
     key: str = STAY,
     item_col: str = "itemid",
     value_col: str = "valuenum",
+    time_col: str = TIME,
     partitions: int | None = None,
 ) -> DataFrame:
     """Scan-and-filter a large raw table once and land it as Parquet
-    clustered by ``key`` (SRC7).
+    clustered by ``key`` and time (SRC7), in ranges of both, so a key with
+    very many rows is written by several tasks.
 
     ``keep`` is a DataFrame of wanted keys: applied as a left-semi join, never
     as a driver-side id set.  Returns the landed table read back.
@@ -91,12 +77,8 @@ def land_measurements(
         df = df.where(F.col(item_col).isin(list(items)))
     df = df.where(F.col(value_col).isNotNull())
     if keep is not None:
-        df = df.join(keep.select(key).distinct(), key, "left_semi")
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (
-        df.repartition(n, key)
-        .sortWithinPartitions(key)
-        .write.mode("overwrite")
-        .parquet(path)
-    )
+        df = df.join(keep.select(key), key, "left_semi")
+    order = [key, time_col]
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    ranged.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -25,9 +25,26 @@ def test_lag_over_gap_and_first_row(spark):
     assert out[1].n_missing_vitals_lag1 == 0 and out[1].missing_trend == 1
 
 
-def test_v3_contract_has_63_features():
-    assert len(CLINICAL.v3_feature_columns()) == 63
-    assert CLINICAL.v3_feature_columns()[40:42] == ["vital_220045_mean_lag1", "vital_220045_mean_delta"]
+# The published feature contract, in order.
+V3_FEATURES = """
+    vital_220045_mean vital_220045_min vital_220045_max vital_220045_std vital_220045_missing vital_220179_mean
+    vital_220179_min vital_220179_max vital_220179_std vital_220179_missing vital_220210_mean vital_220210_min
+    vital_220210_max vital_220210_std vital_220210_missing vital_220277_mean vital_220277_min vital_220277_max
+    vital_220277_std vital_220277_missing vital_223761_mean vital_223761_min vital_223761_max vital_223761_std
+    vital_223761_missing vital_223900_mean vital_223900_min vital_223900_max vital_223900_std vital_223900_missing
+    lab_50912_last lab_50912_missing lab_50813_last lab_50813_missing lab_51301_last lab_51301_missing lab_50885_last
+    lab_50885_missing icu_hours_elapsed time_of_day vital_220045_mean_lag1 vital_220045_mean_delta
+    vital_220179_mean_lag1 vital_220179_mean_delta vital_220210_mean_lag1 vital_220210_mean_delta
+    vital_220277_mean_lag1 vital_220277_mean_delta vital_223761_mean_lag1 vital_223761_mean_delta
+    vital_223900_mean_lag1 vital_223900_mean_delta lab_50912_last_lag1 lab_50912_last_delta lab_50813_last_lag1
+    lab_50813_last_delta lab_51301_last_lag1 lab_51301_last_delta lab_50885_last_lag1 lab_50885_last_delta
+    n_missing_vitals n_missing_vitals_lag1 missing_trend
+""".split()
+
+
+def test_v3_contract_has_the_63_features_in_order():
+    assert len(V3_FEATURES) == 63
+    assert CLINICAL.v3_feature_columns() == V3_FEATURES
 
 
 def test_split_rounding_90_stays(spark):

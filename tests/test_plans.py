@@ -12,7 +12,7 @@ import pytest
 
 from stayframe.plans.mappings import lineitem_inputs
 from stayframe.operators.aggregates import lab_windows, silver_windows
-from stayframe.plans.medallion import gold_table
+from stayframe.plans.medallion import batch_matrix, gold_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -36,7 +36,8 @@ def formatted(df) -> str:
 def test_silver_scan_is_pruned_and_filtered(x):
     p = formatted(silver_windows(x.vitals, x.stays, x.cfg))
     block = p[p.index("lineitem.parquet") - 400 :]
-    assert "PushedFilters: [IsNotNull(l_shipdate), IsNotNull(l_orderkey)]" in block
+    pushed = re.search(r"PushedFilters: \[([^\]]*)\]", block).group(1)
+    assert {"IsNotNull(l_extendedprice)", "IsNotNull(l_shipdate)", "IsNotNull(l_orderkey)"} <= set(pushed.split(", "))
     read = re.search(r"ReadSchema: struct<([^>]*)>", block).group(1)
     assert set(c.split(":")[0] for c in read.split(",")) == {
         "l_orderkey", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"
@@ -76,3 +77,22 @@ def test_global_order_has_no_single_partition_window_over_rows(spark):
     assert any("windowspecdefinition(_range_pid" in w for w in windows)
     assert len(windows) == 2
     assert r.agg(F.min("rank"), F.max("rank")).first() == (0, 4999)
+
+
+def test_batch_matrix_bounds_readings_before_the_first_exchange(x):
+    p = plan(batch_matrix(x.vitals, x.labs, x.stays, x.labels, x.cfg))
+    assert "RoundRobinPartitioning" not in p
+    bounds = [at for at in range(len(p)) if p.startswith("n_windows#", at) and "< n_windows#" in p[at - 3 : at + 12]]
+    assert len(bounds) >= 2
+    lines = p.splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    for i, line in enumerate(lines):
+        if "< n_windows#" in line:  # nothing between the bound and the scans below it deals rows out by window
+            below = [q for q in lines[i + 1 :] if depth(q) > depth(line)]
+            assert not any("Exchange hashpartitioning" in q and "window_id" in q for q in below[:6])
+
+
+def test_no_query_reshuffles_a_raw_scan(spark):
+    x = lineitem_inputs(spark, SF)
+    for df in (silver_windows(x.vitals, x.stays, x.cfg), gold_table(x.vitals, x.labs, x.stays, x.labels, x.cfg), x.labs):
+        assert "RoundRobinPartitioning" not in plan(df)

@@ -6,8 +6,9 @@ import numpy as np
 import pytest
 
 from stayframe.config import CLINICAL
-from stayframe.operators.scoring import LinearScorer, score_foreign
+from stayframe.operators.scoring import score_foreign
 from stayframe.operators.temporal import lags_from_previous
+from stayframe.plans.queries_scoring import LinearScorer
 
 
 def test_score_foreign_matches_numpy(spark):
@@ -39,3 +40,19 @@ def test_lags_from_previous_map(spark):
         assert out[rid].vital_220045_mean_lag1 is None and out[rid].missing_trend is None
     assert out[4].vital_220045_mean_lag1 == 0.25 and out[4].lab_50912_last_lag1 is None
     assert out[4].n_missing_vitals_lag1 == 0.0
+
+
+def test_foreign_models_are_built_once_per_worker_and_kept_apart(spark, tmp_path):
+    def factory(bias, folder=str(tmp_path)):
+        import os
+        import uuid
+
+        open(f"{folder}/{bias}_{os.getpid()}_{uuid.uuid4().hex}", "w").close()
+        return LinearScorer({"a": 0.0}, bias)
+
+    df = spark.range(2000).selectExpr("id", "double(id) AS a", "'kept' AS other").repartition(40)
+    one = score_foreign(df, lambda: factory(1.0), ["a"], "p1")
+    both = score_foreign(one, lambda: factory(-1.0), ["a"], "p2").collect()
+    assert {(round(r.p1, 6), round(r.p2, 6), r.other) for r in both} == {(0.731059, 0.268941, "kept")}
+    built = [tuple(f.name.split("_")[:2]) for f in tmp_path.iterdir()]
+    assert len(built) == len(set(built))  # never twice in one worker
