@@ -3,7 +3,10 @@ the subgroup report (SPL1-SPL3, MDL1, SCR2, SCR3, EVL1-EVL7, SUB1, JON7)."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from stayframe.config import LABEL, STAY
+from stayframe.functions import flag
 from stayframe.operators.joins import attach_patients
 from stayframe.operators.metrics import (
     at_threshold,
@@ -14,6 +17,7 @@ from stayframe.operators.metrics import (
     roc_curve,
     youden_threshold,
 )
+from stayframe.operators.ordering import with_scalars
 from stayframe.operators.scoring import alert, check_predictions
 from stayframe.operators.splits import id_split, split_summary, temporal_split, with_class_weight
 from stayframe.operators.subgroups import REPORT_ORDER, subgroup_report
@@ -440,3 +444,42 @@ FROM pred p LEFT JOIN stays st ON p.stay_id = st.stay_id LEFT JOIN patients pt O
     ),
     ["anchor_age", "sepsis_prob"],
 )(_jon7)
+
+
+def _d13(spark, sf_dir):
+    """The threshold is chosen on the validation stays and reported on the test stays."""
+    p, _ = scored_gold(spark, sf_dir, "lineitem")
+    rows = temporal_split(p.select(STAY, "window_end", LABEL, "sepsis_prob").checkpoint()).checkpoint()
+    chosen = youden_threshold(rows.where(F.col("split") == "val"), "sepsis_prob", LABEL)
+    test = with_scalars(rows.where(F.col("split") == "test"), chosen)
+    test = test.withColumn("sepsis_alert", flag(F.col("sepsis_prob") >= F.col("threshold")))
+    out = with_scalars(at_threshold(test, None, "sepsis_prob", LABEL, alert="sepsis_alert"), chosen)
+    return with_scalars(out, ranking_metrics(test, "sepsis_prob", LABEL).select("auroc", "auprc"))
+
+
+register(
+    "EVAL_validation_threshold_lineitem",
+    Q.with_mapping(
+        "lineitem",
+        "SELECT m.*, t.threshold, t.youden_j, r.auroc, r.auprc FROM atm m CROSS JOIN th t CROSS JOIN ranking r",
+        _score_sql("lineitem")
+        + ","
+        + TEMPORAL_CUTS
+        + """,
+parts AS (SELECT p.*, c.split FROM pred p JOIN cuts c ON p.stay_id = c.stay_id),
+h AS (SELECT sepsis_prob AS s, count(*) FILTER (WHERE sepsis_label = 1) AS pos,
+             count(*) FILTER (WHERE sepsis_label = 0) AS neg FROM parts WHERE split = 'val' GROUP BY sepsis_prob),
+tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM h),
+c AS (SELECT s, sum(pos) OVER (ORDER BY s DESC) AS tp, sum(neg) OVER (ORDER BY s DESC) AS fp FROM h),
+roc AS (
+  SELECT 'inf'::DOUBLE AS threshold, 0.0 AS j
+  UNION ALL
+  SELECT c.s, c.tp / tot.P - c.fp / tot.N FROM c CROSS JOIN tot),
+th AS (SELECT threshold, j AS youden_j FROM roc ORDER BY j DESC, threshold DESC LIMIT 1),
+test AS (SELECT parts.*, th.threshold FROM parts CROSS JOIN th WHERE split = 'test'),"""
+        + _AT_SQL.replace(f">= {THRESHOLD}", ">= threshold").replace(f"< {THRESHOLD}", "< threshold").replace("FROM pred", "FROM test")
+        + ","
+        + _rank_metrics_sql("test", "sepsis_prob", "sepsis_label", None).replace("cum AS", "cumu AS").replace("FROM cum ", "FROM cumu ").replace("hist AS", "histo AS").replace("FROM hist)", "FROM histo)"),
+    ),
+    ["precision", "recall", "f1", "alert_rate", "threshold", "youden_j", "auroc", "auprc"],
+)(_d13)
