@@ -10,8 +10,8 @@ document with each of them is computed in blocks; the nearest vote with their
 labels, weighted by similarity.
 
 Null or empty text: no terms; the score is the sample's share of label 1.
-Labels that are null take no part in fitting; a doc_id with several labels
-takes part with each. Without any labelled row every score is 0.5. Repeated
+Labels that are null take no part in fitting; a doc_id with both labels takes
+part with each, repeated rows count once. Without any labelled row every score is 0.5. Repeated
 rows get equal rows. An empty table gives no rows. Labels, lang, source and
 doc_id never enter a score.
 """
@@ -114,7 +114,7 @@ class Voter:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Voter:
     """A voter from at most about ``sample`` labelled rows (chosen by the hash of doc_id)."""
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label")).where("label IN (0, 1) AND doc_id IS NOT NULL")
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label")).where("label IN (0, 1) AND doc_id IS NOT NULL").distinct()
     known = bounded_sample(known, "doc_id", sample)
     rows = id_and_text(docs).join(F.broadcast(known), "doc_id").select("doc_id", "text", "label").mapInArrow(_sampled, "doc_id long, label int, counts binary").collect()
     rows.sort(key=lambda r: (r.doc_id, r.label, r.counts))
