@@ -1,12 +1,17 @@
 """Benchmark decontamination with spaced seeds, in DataFrame expressions only.
 
-A window of twelve words has three groups of four; each of three fixed masks
-ignores one group and hashes the words of the other two, so one substituted
-word never hides a window. Training windows meet test windows on these
-hashes. Around each meeting the item is laid over the document at the same
-shift; it is a leak if in some stretch of ``STRETCH`` words (the whole item,
-if shorter) at least four fifths of the words are equal. Items of 5 to 11
-words are looked up whole; shorter ones are no evidence and are not looked up.
+Training words meet test words on hashes of spaced groups of words. Around
+each meeting the item is laid over the document at the same shift; it is a
+leak if in some stretch of ``STRETCH`` words (the whole item, if shorter) at
+least four fifths of the words are equal. Items of under 5 words are no
+evidence and are not looked up.
+
+There are two sets of seeds. ``whole_seeds`` misses nothing that the overlay
+accepts: a stretch that may have u other words is cut into more than u groups,
+and a seed is kept for every choice of as many groups as must be untouched; it
+needs only those words inside the document. ``twin_seeds`` are those of the
+SQL twin: a window of twelve words has three groups of four, of which two must
+be equal, and items of 5 to 11 words are looked up whole.
 
 All windows stay inside one generated loop over the scan when the seed table
 is small enough to broadcast (its rows, and the bytes of the items, are
@@ -21,6 +26,7 @@ An empty table on either side gives no rows. Extra columns are ignored.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +37,8 @@ GROUP, SPAN, STRETCH, SHORTEST = 4, 12, 16, 5
 BROADCAST_SEEDS, BROADCAST_ITEM_BYTES = 500_000, 16 << 20
 # Fixed masks: the groups of a window that each keeps.
 MASKS = [(0, 1), (0, 2), (1, 2)]
+# For items of so many words at least: words in a group, groups, and how many of them n // 5 other words leave untouched.
+CUTS = {15: (3, 5, 2), 12: (3, 4, 2), 10: (2, 5, 3), 9: (3, 3, 2), 8: (2, 4, 3), 6: (2, 3, 2), 5: (1, 5, 4)}
 
 
 def words(text: Column) -> Column:
@@ -42,17 +50,27 @@ def _trimmed_words(text: Column) -> Column:
     return F.split(F.btrim(F.lower(text), F.lit("\t\n\x0b\x0c\r ")), r"[\x20\x09-\x0D]+")
 
 
-def _keys(places: DataFrame, short: list[int], *keep: str) -> DataFrame:
-    """(keep, mask, key): hashes of the masks at word ``at``, and of whole short items; null where the text ends too soon."""
+def twin_seeds(n: int) -> list[tuple]:
+    """(words needed from the first on, groups (offset, length)) of the seeds for items of n words, as in the SQL twin."""
+    return [(SPAN, tuple((GROUP * g, GROUP) for g in mask)) for mask in MASKS] if n >= SPAN else [(n, ((0, n),))]
+
+
+def whole_seeds(n: int) -> list[tuple]:
+    """The same for every place that the overlay accepts; offsets count from the first kept word."""
+    size, groups, kept = next(c for least, c in CUTS.items() if n >= least)
+    return [(size * (c[-1] - c[0] + 1), tuple((size * (g - c[0]), size) for g in c)) for c in combinations(range(groups), kept)]
+
+
+def _keys(places: DataFrame, seeds: list[tuple], *keep: str) -> DataFrame:
+    """(keep, mask, key): hashes of the seeds at word ``at``; null where the text ends too soon."""
     word = lambda k: F.get(F.col("words"), F.col("at") + k)
-    fits = lambda n: F.col("at") + n <= F.size("words")
-    groups = [F.xxhash64(*[word(k) for k in range(g, g + GROUP)]).alias(f"g{g // GROUP}") for g in range(0, SPAN, GROUP)]
-    masks = [F.when(fits(SPAN), F.xxhash64(F.lit(m), *[F.col(f"g{g}") for g in mask])) for m, mask in enumerate(MASKS)]
-    wholes = [F.when(fits(n), F.xxhash64(F.lit(100 + n), *[word(k) for k in range(n)])) for n in short]
-    return places.select(*keep, "words", "at", *groups).select(*keep, "words", "at", F.posexplode(F.array(*masks, *wholes)).alias("mask", "key"))
+    runs = {g: f"g{i}" for i, g in enumerate(dict.fromkeys(g for _, groups in seeds for g in groups))}
+    hashed = [F.xxhash64(*[word(k) for k in range(at, at + n)]).alias(name) for (at, n), name in runs.items()]
+    keys = [F.when(F.col("at") + span <= F.size("words"), F.xxhash64(F.lit(m), *[F.col(runs[g]) for g in groups])) for m, (span, groups) in enumerate(seeds)]
+    return places.select(*keep, "words", "at", *hashed).select(*keep, "words", "at", F.posexplode(F.array(*keys)).alias("mask", "key"))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, seeds_of=twin_seeds) -> DataFrame:
     """doc_id, item_id, n_equal, n_words (of the item), doc_start: leaks of benchmark items in documents."""
     items = (
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), words(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("words"))
@@ -61,21 +79,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .where(F.size("words") >= SHORTEST)
         .withColumn("uid", F.xxhash64("words"))
     )
-    short = sorted(r.n for r in items.select(F.size("words").alias("n")).where(F.col("n") < SPAN).distinct().collect())  # 7 values at most
+    length = F.least(F.size("words"), F.lit(STRETCH))
+    uses = {r.n: seeds_of(r.n) for r in items.select(length.alias("n")).distinct().orderBy("n").collect()} or {STRETCH: seeds_of(STRETCH)}  # 12 values at most
+    kinds = list(dict.fromkeys(seed for n in uses for seed in uses[n]))
     starts = items.select("words", "uid", F.explode(F.sequence(F.lit(0), F.size("words") - 1)).alias("at"))
-    seeds = _keys(starts, short, "uid").where("key IS NOT NULL")
-    whole = reduce(lambda a, b: a | b, [(F.col("mask") == len(MASKS) + k) & (F.size("words") == n) for k, n in enumerate(short)], F.col("mask") < len(MASKS))
-    seeds = seeds.where(whole).select("key", "uid", F.col("at").alias("item_at"))
+    used = reduce(lambda a, b: a | b, [(length == n) & F.col("mask").isin([kinds.index(x) for x in uses[n]]) for n in uses])
+    seeds = _keys(starts, kinds, "uid").where("key IS NOT NULL").where(used).select("key", "uid", F.col("at").alias("item_at"))
     texts_of = items.select("uid", F.col("words").alias("item"), "same")
     if seeds.count() <= BROADCAST_SEEDS:
         seeds = F.broadcast(seeds)
     if (items.agg(F.sum(F.length(F.array_join("words", " ")) + 20 * F.size("same"))).first()[0] or 0) <= BROADCAST_ITEM_BYTES:
         texts_of = F.broadcast(texts_of)
 
-    first = min([SPAN, *short])
+    first = min(span for span, _ in kinds)
     texts = id_and_text(docs).select("doc_id", _trimmed_words(F.coalesce("text", F.lit(""))).alias("words"))
     starts = F.when(F.size("words") >= first, F.sequence(F.lit(0), F.size("words") - first))
-    probes = _keys(texts.select("doc_id", "words", F.explode(starts).alias("at")), short, "doc_id")
+    probes = _keys(texts.select("doc_id", "words", F.explode(starts).alias("at")), kinds, "doc_id")
     hits = probes.join(seeds, "key").join(texts_of, "uid").select("doc_id", "words", "item", "same", (F.col("at") - F.col("item_at")).alias("shift"))
     # The comparison is generated from hits: as a plain filter it would move into the join and out of generated code.
     equal = F.transform("item", lambda w, j: F.coalesce(F.get(F.col("words"), F.col("shift") + j) == w, F.lit(False)).cast("int"))
@@ -90,9 +109,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return top
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, seeds_of=twin_seeds) -> DataFrame:
     """The documents that hold no leak, with all their columns; a null doc_id is never dropped."""
-    bad = leaks(docs, benchmark).where("doc_id IS NOT NULL").select(F.col("doc_id").alias("leaked_id")).distinct()
+    bad = leaks(docs, benchmark, seeds_of).where("doc_id IS NOT NULL").select(F.col("doc_id").alias("leaked_id")).distinct()
     return docs.join(bad, F.col("doc_id").cast("long") == F.col("leaked_id"), "left_anti")
 
 

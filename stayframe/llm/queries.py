@@ -24,7 +24,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), decontaminate.whole_seeds)
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

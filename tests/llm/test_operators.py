@@ -262,6 +262,33 @@ def test_leaks_beyond_the_broadcast_bounds(spark, monkeypatch):
     assert [(r.doc_id, r.item_id, r.n_equal, r.doc_start) for r in decontaminate.leaks(d, b).collect()] == [(0, 1, 30, 3)]
 
 
+def test_whole_seeds_find_all_that_the_overlay_accepts(spark):
+    rng = random.Random(18)
+    items = [(n, " ".join(prose(rng, n, 10**6))) for n in [*range(4, 18), 24, 40]]
+    texts = []
+    for n, t in items:
+        for k in range(16):  # as many other words as the overlay accepts, anywhere, within or over either end
+            part = t.split()
+            for at in rng.sample(range(n), min(n, 16) // 5) if k % 4 < 3 else range(k // 4, n, 6):
+                part[at] = "sub"
+            lost = rng.randrange(3) if k % 4 == 2 else 0
+            texts.append(" ".join([*prose(rng, k % 4 % 2 * 7, 10**6), *part[lost:]] if k < 8 else [*part[: n - lost], *prose(rng, k % 4 % 2 * 7, 10**6)]))
+    want = set()
+    for i, t in enumerate(texts):
+        ws = t.split()
+        for n, b in items[1:]:
+            for shift in range(-n + 1, len(ws)):
+                eq = [0 <= shift + k < len(ws) and ws[shift + k] == w for k, w in enumerate(b.split())]
+                if any(sum(eq[s : s + 16]) * 5 >= min(16, n) * 4 for s in range(max(1, n - 15))):
+                    want.add((i, n))
+    d, b = documents(spark, texts), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(d, b, decontaminate.whole_seeds).collect()}
+    assert got == want and len(want) > 150
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(d, b).collect()} < want
+    kept = decontaminate.without_leaks(d, b, decontaminate.whole_seeds)
+    assert {r.doc_id for r in kept.collect()} == set(range(len(texts))) - {i for i, _ in want}
+
+
 # 5: chat ---------------------------------------------------------------------
 
 
