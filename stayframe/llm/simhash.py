@@ -137,8 +137,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_list: int = MAX
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """The documents with one row of each component left: that of its smallest doc_id (of equal ids, of the least text hash)."""
-    found = near_duplicates(docs, shingle)
+    """The documents with one row of each component left."""
+    return first_of_each(docs, near_duplicates(docs, shingle))
+
+
+def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Of each root of ``found`` the row of its smallest doc_id (of equal ids, of the least text hash)."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "sig"))
     stay = found.groupBy("root").agg(first.alias("k")).select(F.col("k.doc_id").alias("_stay_id"), F.col("k.sig").alias("_stay_sig"))
     keyed = docs.withColumn("_sig", signed(docs)).withColumn("_id", docs["doc_id"].cast("long"))

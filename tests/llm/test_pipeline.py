@@ -70,6 +70,36 @@ def test_stages_return_the_columns_of_documents(spark, tmp_path):
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), str(tmp_path)).count() == 0
 
 
+def test_near_duplicate_stage_drops_edited_copies(spark, tmp_path):
+    rng = random.Random(22)
+    base = [prose(rng, n, 10**6) for n in (3, 12, 60, 150, 150, 400, 900, 1500) for _ in range(4)]
+    texts = [" ".join(w) for w in base] + [None, "", "A b", "a B"]
+    for words in base[4:]:
+        for share in (0.01, 0.02, 0.05):
+            edited = list(words)
+            for at in rng.sample(range(len(edited)), max(1, int(share * len(edited)))):
+                edited[at] = "sub"
+            texts.append(" ".join(edited))
+    hot = prose(rng, 200, 10**6)
+    for k in range(100):  # a large group of near copies
+        texts.append(" ".join(hot[: k % 50] + [f"new{k}"] + hot[k % 50 + 1 :]))
+    grams = []
+    for t in texts:
+        w = (t or "").lower().split()
+        grams.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set()))
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if grams[i] == grams[j] or 9 * len(grams[i] & grams[j]) >= 4 * (len(grams[i]) + len(grams[j])):
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root))
+    assert len(set(root)) < len(texts) - 140
+
+
 CONTRACT = {
     "op1_substrings": "doc_id:bigint,n_words:bigint,n_removed:bigint,kept_sha256:string",
     "op2_packing": "doc_id:bigint,start:bigint,length:bigint,ids_crc32:bigint,doc_tokens:bigint,sequence_id:bigint,offset:bigint",
