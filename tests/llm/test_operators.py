@@ -192,6 +192,21 @@ def test_pii_trees_add_and_keep_base(spark):
     assert pii.redact(docs.limit(0), scorer).count() == 0 and pii.fit(docs.limit(0)).thresholds == {}
 
 
+def test_pii_trees_fitted_on_the_full_table_add_other_forms(spark):
+    rng = random.Random(19)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    name = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    texts = []
+    for _ in range(150):
+        texts += [f"please call +1 ({digits(3)}) {digits(3)}-{digits(4)} today", f"mail {name()}@{name()}.com now", f"the count was {digits(8)} and then {digits(9)} rows"]
+        texts += [f"please call 1 ({digits(3)}) {digits(3)}-{digits(4)} today", f"mail {name()} (at) {name()} (dot) com now", f"we met at {name()}.{name()} then"]
+    docs = documents(spark, texts)
+    spans = {r.doc_id: r.spans for r in pii.pii_digests(pii.find_pii(docs)).collect()}
+    for i in range(0, len(texts), 6):
+        assert spans[i + 3].startswith("phone:12:") and spans[i + 4].startswith("email:5:")
+        assert spans[i + 2] == spans[i + 5] == ""
+
+
 def test_redaction_of_overlapping_spans_and_nulls(spark):
     df = spark.sql("SELECT 'éabcdef' AS text, array(named_struct('kind','ip','start',1L,'end',4L), named_struct('kind','card','start',3L,'end',5L)) AS spans")
     assert df.select(pii.redacted(F.col("text"), F.col("spans"))).first()[0] == "é[IP]ef"
