@@ -1,9 +1,10 @@
 """Quality classifier by nearest-neighbour voting in a latent-semantic space.
 
-Terms of a text are runs of three signs of its outline (letters by case,
-digits, spaces, line ends and punctuation, with runs of one kind collapsed)
-and words and word pairs that repeat, hashed into a fixed number of slots. A
-truncated SVD of the tf-idf matrix of a bounded sample of labelled rows gives
+Terms of a text are its words (lower-cased runs of letters and digits), and
+runs of three signs of its outline (letters by case, digits, spaces, line ends
+and punctuation, with runs of one kind collapsed) with counts of words and word
+pairs that repeat, hashed into a fixed number of slots. Words and outline weigh
+alike: each part of a text's tf-idf row has length one. A truncated SVD of the tf-idf matrix of a bounded sample of labelled rows gives
 the latent space. Those rows' latent vectors (at most ``SAMPLE`` x ``LATENT``
 floats, whatever the input's size) go to every task, where the cosine of each
 document with each of them is computed in blocks; the nearest vote with their
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from stayframe.llm.common import Words, bounded_sample, held_out, id_and_text, mix, text_batches
 
-SLOTS, LATENT, SAMPLE, NEIGHBOURS, BLOCK, SEED, TIE = 2048, 48, 3000, 15, 512, 7, 1e-5
+SLOTS, WORD_SLOTS, LATENT, SAMPLE, NEIGHBOURS, BLOCK, SEED, TIE = 2048, 4096, 48, 3000, 15, 512, 7, 1e-5
 
 
 def _outline() -> np.ndarray:
@@ -40,10 +41,12 @@ def _outline() -> np.ndarray:
 
 
 _OUTLINE = _outline()
+# Letters and digits, lower-cased; all else parts words.
+_WORD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 or 48 <= b <= 57 else 32 for b in range(256))
 
 
 def terms(texts: list[bytes]) -> np.ndarray:
-    """Term counts, one row of ``SLOTS`` slots for each text."""
+    """Term counts, one row for each text: ``SLOTS`` slots of the outline, then ``WORD_SLOTS`` of words."""
     n = len(texts)
     out = np.zeros((n, SLOTS), np.float32)
     raw = _OUTLINE[np.frombuffer(b"".join(texts), np.uint8)]
@@ -61,13 +64,19 @@ def terms(texts: list[bytes]) -> np.ndarray:
     for back in (1, 2):  # a word that repeats the one before it, or the one before that
         same = (words.hash[back:] == words.hash[:-back]) & (words.doc[back:] == words.doc[:-back])
         out[:, SLOTS - 3 + back] = np.bincount(words.doc[back:][same], minlength=n)
-    return out
+    words = Words([t.translate(_WORD) for t in texts])
+    slot = (words.hash >> np.uint64(40)).astype(np.int64) % WORD_SLOTS
+    said = np.bincount(words.doc * WORD_SLOTS + slot, minlength=n * WORD_SLOTS).reshape(n, WORD_SLOTS)
+    return np.hstack((out, said.astype(np.float32)))
 
 
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    x = np.log1p(counts) * idf
-    norm = np.linalg.norm(x, axis=1, keepdims=True)
-    return np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
+    x = np.log1p(counts)
+    x *= idf
+    for part in (x[:, :SLOTS], x[:, SLOTS:]):
+        norm = np.sqrt(np.einsum("ij,ij->i", part, part))[:, None]
+        np.divide(part, norm, out=part, where=norm > 0)
+    return x
 
 
 class Voter:
@@ -81,7 +90,7 @@ class Voter:
         # truncated SVD by subspace iteration from a fixed start
         rng = np.random.default_rng(SEED)
         k = min(latent, *x.shape) if len(labels) else 0
-        q = rng.standard_normal((SLOTS, k + 10)).astype(np.float32) if k else np.zeros((SLOTS, 0), np.float32)
+        q = rng.standard_normal((x.shape[1], k + 10)).astype(np.float32) if k else np.zeros((x.shape[1], 0), np.float32)
         for _ in range(6 if k else 0):
             q, _ = np.linalg.qr(x.T @ (x @ q))
         if k:
@@ -118,7 +127,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Voter:
     known = bounded_sample(known, "doc_id", sample)
     rows = id_and_text(docs).join(F.broadcast(known), "doc_id").select("doc_id", "text", "label").mapInArrow(_sampled, "doc_id long, label int, counts binary").collect()
     rows.sort(key=lambda r: (r.doc_id, r.label, r.counts))
-    counts = np.array([np.frombuffer(r.counts, np.float32) for r in rows], np.float32).reshape(len(rows), SLOTS)
+    counts = np.zeros((len(rows), SLOTS + WORD_SLOTS), np.float32)
+    for row, r in zip(counts, rows):
+        n = len(r.counts) // 6
+        row[np.frombuffer(r.counts, "<u2", n)] = np.frombuffer(r.counts, "<f4", n, 2 * n)
     return Voter(counts, np.array([r.label for r in rows], np.float32))
 
 
@@ -126,7 +138,8 @@ def _sampled(batches):
     import pyarrow as pa
 
     for t, texts in text_batches(batches, limit=1 << 20):
-        rows = [x.tobytes() for x in terms(texts)]
+        used = ((x, np.flatnonzero(x)) for x in terms(texts))  # the slots in use, then their counts
+        rows = [at.astype("<u2").tobytes() + x[at].astype("<f4").tobytes() for x, at in used]
         yield pa.RecordBatch.from_arrays([*t.select(["doc_id", "label"]).to_batches()[0].columns, pa.array(rows, pa.binary())], ["doc_id", "label", "counts"])
 
 

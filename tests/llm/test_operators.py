@@ -564,6 +564,16 @@ def test_quality_held_out_accuracy(spark):
     assert quality.quality_rows(docs.limit(0), marks).count() == 0
 
 
+def test_quality_told_by_words_alone(spark):
+    rng = random.Random(23)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
+    good, bad, any_ = ([word() for _ in range(40)] for _ in range(3))
+    rows = [(i, " ".join(rng.choice(any_ if k % 2 else bad if i % 3 == 0 else good) for k in range(40)), int(i % 3 != 0)) for i in range(400)]
+    docs, marks = documents(spark, [t for _, t, _ in rows]), spark.createDataFrame([(i, y, 0) for i, _, y in rows], "doc_id long, quality int, toxic int")
+    got = [r for r in quality.quality_rows(docs, marks).collect() if r.held_out]
+    assert len(got) > 80 and np.mean([r.predicted == rows[r.doc_id][2] for r in got]) > 0.97
+
+
 def test_votes_match_brute_force():
     rng = random.Random(15)
     marks = ".,!?;:*#"
