@@ -9,7 +9,8 @@ language, and the language with the largest share of n-grams wins.
 A language's profile is its ``PROFILE`` most frequent byte n-grams (of 3, 4
 and 5 bytes, in texts lower-cased, with all but letters turned into spaces)
 that are not as frequent elsewhere, counted by Spark over a bounded sample of
-labelled rows, so the filter's size does not depend on the input.
+each language's labelled rows (all of a rare one's), so every lang value is
+learned and the filter's size does not depend on the input.
 
 Null text or one without a letter: ``und``, score 0. Rows with null lang or
 text teach nothing. With no teaching rows every text is ``und``. A tie goes to
@@ -26,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayframe.llm.common import bounded_sample, held_out, id_and_text, mix, text_batches
+from stayframe.llm.common import held_out, id_and_text, mix, text_batches
 
 SIZES, PROFILE, SAMPLE, BITS_PER_GRAM, PROBES = (3, 4, 5), 20_000, 6_000, 16, 2
 UNKNOWN = "und"
@@ -126,9 +127,10 @@ def _count(batches):
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, profile: int = PROFILE) -> Filters:
-    """Filters of every lang value among ``docs``, from about ``sample`` rows (chosen by the hash of doc_id)."""
-    known = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    rows = bounded_sample(known.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string").alias("lang")), "doc_id", sample)
+    """Filters of every lang value among ``docs``, from about ``sample`` rows of each (chosen by the hash of doc_id and text)."""
+    known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string").alias("lang"))
+    shares = known.groupBy("lang").agg((F.lit(float(sample)) / F.count("*") * (1 << 30)).alias("share"))  # a row per language
+    rows = known.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < F.col("share"))
     counts = rows.select("text", "lang").mapInArrow(_count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     rate = counts.join(F.broadcast(totals), "lang").where("n > 1").withColumn("rate", F.col("n") / F.col("total"))  # a row per language

@@ -361,6 +361,16 @@ def test_language_held_out_accuracy(spark):
     assert language.language_rows(df.limit(0)).count() == 0
 
 
+def test_every_language_is_learned_from_its_own_rows(spark):
+    rng = random.Random(20)
+    say = lambda parts, n: " ".join("".join(rng.choice(parts) for _ in range(3)) for _ in range(n))
+    common_, rare = "ka to mi re".split(), "sch ung pf tz".split()
+    rows = [(i, say(common_, 20), "aa") for i in range(2_000)] + [(5_000 + i, say(rare, 40), "bb") for i in range(3)]
+    filters = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=50)
+    assert filters.languages == ["aa", "bb"]
+    assert [x for x, _ in filters.predict([say(rare, 30).encode(), say(common_, 30).encode()])] == ["bb", "aa"]
+
+
 def test_filters_answer_for_many_languages():
     rng = np.random.default_rng(1)
     profiles = {f"l{i:03}": rng.integers(0, 1 << 40, 50).astype(np.uint64) for i in range(70)}
