@@ -5,7 +5,9 @@ matches and drop those that fail their length test. A value that follows a
 credential word is also priced by a dynamic programme: the cheapest way to
 write it as common words, dates, repeats, keyboard or alphabet walks and
 brute-force characters gives log2 of the guesses it takes; costly values
-become ``guess`` findings where no rule already has the place.
+become ``guess`` findings where no rule already has the place. A bare word of
+letters, all small or with a capital first, after 'is' or 'with' may be prose
+and must cost ``PROSE_BITS``; any other value ``MIN_BITS``.
 
 Null text: empty, no findings. Every row gives a row; repeated rows and ids
 give equal rows. Texts of any length are scanned whole. Extra columns are
@@ -34,7 +36,8 @@ CONTEXT = re.compile(
     r"""\b(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|auth(?:orization)?|bearer|login|(?:api|access|private|signing|client)[_-]?(?:key|secret))["']?\x20{0,3}(?:[:=]|=>|is\b|\bwith\b)\x20{0,3}["']?([^\s"'<>,;]{8,})""",
     re.I | re.A,
 )
-MIN_BITS = 40.0
+MIN_BITS, PROSE_BITS = 40.0, 60.0
+PROSE = re.compile(r"\b(?:is|with)\x20{0,3}$", re.I | re.A)
 # Common password words, most used first.
 COMMON = (
     "password qwerty admin welcome letmein monkey dragon master login princess sunshine football baseball shadow "
@@ -103,7 +106,8 @@ def find_secrets(text: str, min_bits: float = MIN_BITS) -> list[tuple[str, int,
         if k < len(taken) and taken[k][0] < e:
             continue
         value = m[1].rstrip(".)]}!?:")
-        if len(value) >= 8 and (bits := guess_bits(value)) >= min_bits and not value.isalpha():
+        prose = value.isalpha() and value[1:].islower() and PROSE.search(text, m.start(), s)
+        if len(value) >= 8 and (bits := guess_bits(value)) >= (max(min_bits, PROSE_BITS) if prose else min_bits):
             found.append(("guess", s, s + len(value), bits))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 

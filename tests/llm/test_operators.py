@@ -448,6 +448,14 @@ def test_guess_cost_orders_values():
     assert [f[:3] for f in found] == [("guess", 11, 23)]
 
 
+def test_values_of_letters_only_are_priced():
+    find = lambda t: [f[:3] for f in secrets.find_secrets(t)]
+    assert find("the pwd is XkqzPvWmTtrJhB today") == [("guess", 11, 25)]
+    assert find("pin: vbxqjzkwplmgt") == [("guess", 5, 18)] and find("pwd is 'vbxqjzkwplmgt'") == [("guess", 8, 21)]
+    assert find("the login is vbxqjzkwplmgthrcd now") == [("guess", 13, 30)]
+    assert find("the login is required and the pin is Forgotten, pwd with password") == []
+
+
 def test_guess_cost_is_the_cheapest_segmentation():
     # all segmentations of lower-case letters into words, repeats, walk steps and single letters, from the end
     def brute(v):
