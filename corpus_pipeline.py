@@ -3,6 +3,13 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written
 as Parquet and read again as the next one's docs. All but the last return the
 columns of documents.
+
+Null or empty texts: the quality stage scores them by the sample's share of
+good rows; those kept form one group of near duplicates (fingerprint zero),
+hold no leak and no personal data, and are packed as the closing id alone.
+Rows with a null doc_id and repeated rows go through like any other (of equal
+rows one stays). Empty tables give empty tables. Extra columns of documents
+stay with their rows up to packing, whatever their names.
 """
 
 from __future__ import annotations
@@ -10,7 +17,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stayframe.llm import decontaminate, nearcopies, packing, pii, quality
+from stayframe.llm import decontaminate, packing, pii, quality, simhash
 from stayframe.llm.common import table
 from stayframe.session import remove_scratch, scratch_path, tune
 
@@ -21,8 +28,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a Jaccard similarity of 0.8 or more of 5-word shingles."""
-    return nearcopies.one_of_each(docs)
+    """One document of each group of SimHash fingerprints linked at two or fewer differing bits (3-word shingles)."""
+    return simhash.one_of_each(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
