@@ -24,119 +24,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayframe.llm.common import cut, id_and_text, text_batches
+from stayframe.llm.tokens import CLOSING_ID, VOCABULARY, encoder  # noqa: F401  (VOCABULARY: for callers)
 
-WINDOW, CLOSING_ID, GROUP_PIECES = 4096, 2, 20_000
-VOCABULARY = "word_bpe_49k.json"
-_TOKENIZERS: dict[str, object] = {}
-_ENCODERS: dict[str, "Encoder"] = {}
-
-
-def tokenizer(path: str):
-    """The tokenizer of a vocabulary file, loaded once per worker."""
-    if path not in _TOKENIZERS:
-        from tokenizers import Tokenizer
-
-        _TOKENIZERS[path] = t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True  # their strings in a text are ordinary text
-    return _TOKENIZERS[path]
-
-
-SENTINEL = "\ue000"  # stands between words when the ends of their ids can't be told otherwise
-_ENDERS = frozenset(".,;:!?*#$%&|")
-
-
-class Encoder:
-    """Token ids (little-endian 32-bit, as bytes) of texts, with a bounded memory of words seen.
-
-    The vocabulary lower-cases and never joins characters across white space,
-    so a text's ids are those of its space-separated, lower-cased words in
-    order; the tokenizer runs once per new word. Many new words go through it
-    as one text, cut again at the ids that end a word or run of signs.
-    """
-
-    def __init__(self, path: str, keep: int = 1_200_000):
-        self.path, self.keep, self.ids = path, keep, {}
-        vocab = tokenizer(path).get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-
-    def _run(self, text: str) -> np.ndarray:
-        return np.array(tokenizer(self.path).encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def _learn(self, new: list[bytes]) -> None:
-        plain, parts, rest = [], [], []
-        for w in new:
-            t = w.decode()
-            if t.isalpha():
-                plain.append((w, t))
-                parts.append(1)
-            elif t[-1] in _ENDERS and t[:-1].isalpha():
-                plain.append((w, t))
-                parts.append(2)
-            else:
-                rest.append(w)
-        if plain:
-            flat = self._run(" ".join(t for _, t in plain))
-            ends = np.flatnonzero(self.ends[flat]) + 1
-            upto = np.cumsum(parts)
-            if len(ends) == upto[-1]:
-                self._store([w for w, _ in plain], flat, np.concatenate(([0], ends[upto[:-1] - 1])), ends[upto - 1])
-            else:  # a letter that normalises to something else
-                rest += [w for w, _ in plain]
-        odd = [w for w in rest if SENTINEL.encode() in w]
-        rest = [w for w in rest if SENTINEL.encode() not in w]
-        if rest:
-            mark = self._run(SENTINEL)
-            flat = self._run(f" {SENTINEL} ".join(w.decode() for w in rest))
-            hit = np.ones(max(0, len(flat) - len(mark) + 1), bool)
-            for k, m in enumerate(mark):
-                hit &= flat[k : k + len(hit)] == m
-            at = np.flatnonzero(hit)
-            if len(at) == len(rest) - 1:
-                self._store(rest, flat, np.concatenate(([0], at + len(mark))), np.concatenate((at, [len(flat)])))
-            else:
-                odd += rest
-        for w in odd:
-            self.ids[w] = self._run(w.decode()).tobytes()
-
-    def _store(self, words, flat, start, end) -> None:
-        raw = flat.tobytes()
-        self.ids.update(zip(words, [raw[a:b] for a, b in zip((4 * start).tolist(), (4 * end).tolist())]))
-
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        words = [t.lower().split() for t in texts]  # bytes: A-Z and ASCII white space only
-        new = set().union(*words) - self.ids.keys()
-        if len(self.ids) + len(new) > self.keep:
-            self.ids.clear()
-            new = set().union(*words)
-        if new:
-            self._learn(list(new))
-        ids = self.ids
-        return [b"".join([ids[w] for w in ws]) for ws in words]
-
-
-def encoder(path: str) -> Encoder:
-    """One encoder per worker and vocabulary, so that tasks share the words seen."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+WINDOW, GROUP_PIECES = 4096, 20_000
 
 
 def _pieces(batches, path: str, window: int, closing: int, with_ids: bool):
     import pyarrow as pa
 
-    encode, close = encoder(path), np.array([closing], "<u4").tobytes()
-    for t, texts in text_batches(batches, limit=1 << 20):
-        rows = []
-        for doc_id, raw in zip(t.column(0).to_pylist(), encode(texts)):
-            raw += close
-            n = len(raw) // 4
-            rows += [(doc_id, s, len(p := raw[4 * s : 4 * (s + window)]) // 4, zlib.crc32(p), n, p) for s in range(0, n, window)]
-        cols = list(zip(*rows))
-        out = [pa.array(c, pa.int64()) for c in cols[:5]]
+    encode = encoder(path)
+    for t, texts in text_batches(batches):
+        ids, first = encode(texts, closing)
+        tokens = np.diff(first)
+        pieces = -(-tokens // window)
+        doc = np.repeat(np.arange(len(texts)), pieces)
+        start = window * (np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+        length = np.minimum(window, tokens[doc] - start)
+        at = first[doc] + start
+        raw = memoryview(ids.astype("<u4").tobytes())
+        crc = [zlib.crc32(raw[a:b]) for a, b in zip((4 * at).tolist(), (4 * (at + length)).tolist())]
+        out = [t.column("doc_id").combine_chunks().take(pa.array(doc)), *[pa.array(x, pa.int64()) for x in (start, length, crc, tokens[doc])]]
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
         if with_ids:
-            out.append(pa.array([np.frombuffer(p, "<i4") for p in cols[5]], pa.list_(pa.int32())))
+            out.append(pa.ListArray.from_arrays(pa.array(np.append(at, len(ids)), pa.int32()), pa.array(ids.astype(np.int32))))
             names.append("ids")
         yield pa.RecordBatch.from_arrays(out, names)
 
@@ -212,6 +122,6 @@ def pack(pieces: DataFrame, window: int = WINDOW, group_pieces: int = GROUP_PIEC
         base = key[0].as_py() << 32
         return t.append_column("sequence_id", pa.array([base + w for w in where], pa.int64())).append_column("offset", pa.array(offset, pa.int64()))
 
-    grouped = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
+    grouped = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups)))  # the row's number parts rows repeated whole
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
     return grouped.groupBy("pack_group").applyInArrow(place, schema)

@@ -145,9 +145,9 @@ def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Of each root of ``found`` the row of its smallest doc_id (of equal ids, of the least text hash)."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "sig"))
     stay = found.groupBy("root").agg(first.alias("k")).select(F.col("k.doc_id").alias("_stay_id"), F.col("k.sig").alias("_stay_sig"))
-    keyed = docs.withColumn("_sig", signed(docs)).withColumn("_id", docs["doc_id"].cast("long"))
-    kept = keyed.join(stay, keyed["_id"].eqNullSafe(stay["_stay_id"]) & (keyed["_sig"] == stay["_stay_sig"]), "left_semi")
-    return kept.dropDuplicates(["_id", "_sig"]).select(*[kept[f"`{c}`"] for c in docs.columns])
+    packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("id"), signed(docs).alias("sig"))
+    kept = packed.join(stay, F.col("id").eqNullSafe(F.col("_stay_id")) & (F.col("sig") == F.col("_stay_sig")), "left_semi")
+    return kept.dropDuplicates(["id", "sig"]).select("row.*")
 
 
 def fingerprint_digests(found: DataFrame) -> DataFrame:

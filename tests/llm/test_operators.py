@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from stayframe.llm import chat, common, decontaminate, language, neighbours, packing, pii, quality, secrets, simhash, substrings
 
@@ -76,11 +77,11 @@ def test_substrings_null_and_repeated_ids(spark):
 
 def test_packing_keeps_every_id(spark):
     rng = random.Random(3)
-    texts = ODD + [" ".join(prose(rng, rng.randrange(0, 3_000))) for _ in range(60)] + ["Don't STOP, it's 12.5%!! <|endoftext|> İstanbul"]
+    texts = ODD + [" ".join(prose(rng, rng.randrange(0, 3_000))) for _ in range(60)] + ["Don't STOP, it's 12.5%!! <|endoftext|> İstanbul", "Y\u030a W\u030a T\u0308x e\u0301 E\u0301t a<|endoftext|>B <|ENDOFTEXT|> \ue000 x\ue000y"]
     path = public_tokenizers.path(packing.VOCABULARY)
     docs = documents(spark, texts, clash=True)
     pieces = packing.cut_pieces(docs, path, with_ids=True).collect()
-    tokenizer = packing.tokenizer(path)
+    tokenizer = Tokenizer.from_file(path)
     for i, t in enumerate(texts):
         want = tokenizer.encode(t or "", add_special_tokens=False).ids + [2]
         mine = sorted((p for p in pieces if p.doc_id == i), key=lambda p: p.start)
