@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stayframe.llm import chat, decontaminate, language, neighbours, packing, pii, quality, secrets, simhash, substrings
+from stayframe.llm import chat, decontaminate, language, neighbours, packing, pii, quality, secrets, simhash, substrings, tokenfiles
 from stayframe.llm.common import table
 from stayframe.session import tune
 
@@ -51,9 +51,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.token_rows(table(spark, sf_dir, "documents"), public_tokenizers.path(packing.VOCABULARY))
+
+
 def _tuned(fn):
     return lambda spark, sf_dir: fn(tune(spark), sf_dir)
 
 
-QUERIES = {f.__name__: _tuned(f) for f in (op1_substrings, op2_packing, op3_pii, op4_decontaminate, op5_chat_format, op6_language, op7_neighbours, op8_secrets, op9_simhash, op10_quality)}
+_ALL = (
+    op1_substrings, op2_packing, op3_pii, op4_decontaminate, op5_chat_format, op6_language, op7_neighbours, op8_secrets, op9_simhash, op10_quality,
+    op13_token_files,
+)
+QUERIES = {f.__name__: _tuned(f) for f in _ALL}
 SQL = {"op1_substrings": substrings.SUBSTRINGS_SQL, "op4_decontaminate": decontaminate.LEAKS_SQL, "op5_chat_format": chat.CHAT_SQL}
