@@ -39,6 +39,7 @@ from stayframe.session import remove_scratch, scratch_path
 
 MAGIC, HEAD = b"SVTB", struct.Struct("<4sIQQQQ")
 BLOCK, FILE_BLOCKS, SMALL_PART, LARGE_PART = 1 << 20, 32, 8 << 20, 128 << 20  # bytes of code, blocks, bytes of code
+STRETCH = 1 << 19  # ids
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1  # of the four ranks of each control byte
 
 
@@ -119,19 +120,26 @@ def _tokenised(batches, path: str, closing: int):
         yield pa.RecordBatch.from_arrays([t.column("doc_id").combine_chunks(), pa.array(np.diff(first)), pa.array(parts, pa.binary())], ["doc_id", "n_tokens", "ids"])
 
 
-def _flat(batch) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of a batch of stored rows (two or four bytes an id) in a row, and where each row's begin."""
-    n, raw = batch.column("n_tokens").to_numpy(), batch.column("ids").to_pylist()
-    ids = [np.frombuffer(r, "<u2" if len(r) == 2 * k else "<u4") for r, k in zip(raw, n.tolist())]
-    return np.concatenate([np.zeros(0, np.uint32), *ids]).astype(np.int64), np.concatenate(([0], np.cumsum(n)))
+def _flat(batches):
+    """Stored rows (two or four bytes an id) a stretch of at most about ``STRETCH`` ids at a time: the rows, all ids in a row, where each row's begin."""
+    for batch in batches:
+        upto = np.cumsum(batch.column("n_tokens").to_numpy())
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + STRETCH, side="right")))
+            rows = batch.slice(at, to - at)
+            n = rows.column("n_tokens").to_numpy()
+            parts = [np.frombuffer(r.as_buffer(), "<u2" if len(r.as_buffer()) == 2 * k else "<u4") for r, k in zip(rows.column("ids"), n.tolist())]
+            yield rows, np.concatenate([x.astype(np.uint32) for x in parts]), np.concatenate(([0], np.cumsum(n)))
+            at = to
 
 
 def _counted(batches):
     import pyarrow as pa
 
     total = np.zeros(0, np.int64)
-    for b in batches:
-        now = np.bincount(_flat(b)[0], minlength=len(total))
+    for _, ids, _ in _flat(batches):
+        now = np.bincount(ids, minlength=len(total))
         now[: len(total)] += total
         total = now
     used = np.flatnonzero(total)
@@ -141,12 +149,11 @@ def _counted(batches):
 def _encoded(batches, rank):
     import pyarrow as pa
 
-    for b in batches:
-        ids, first = _flat(b)
+    for rows, ids, first in _flat(batches):
         control, data, c, d = encode(rank.value[ids], first)
         raw = [memoryview(x.tobytes()) for x in (control, data)]
         cols = [pa.array([r[a:z] for a, z in zip(at.tolist(), at[1:].tolist())], pa.binary()) for r, at in zip(raw, (c, d))]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_tokens"), *cols], ["doc_id", "n_tokens", "control", "data"])
+        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("n_tokens"), *cols], ["doc_id", "n_tokens", "control", "data"])
 
 
 def _blocks(batches):
