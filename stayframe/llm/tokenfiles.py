@@ -33,12 +33,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayframe.llm.common import cut, id_and_text, text_batches
-from stayframe.llm.tokens import CLOSING_ID, encoder
+from stayframe.llm.tokens import CLOSING_ID, encoder, release
 from stayframe.operators.ordering import global_prefix
 from stayframe.session import remove_scratch, scratch_path
 
 MAGIC, HEAD = b"SVTB", struct.Struct("<4sIQQQQ")
-BLOCK, FILE_BLOCKS, SMALL_PART, LARGE_PART = 1 << 20, 32, 8 << 20, 128 << 20  # bytes of code, blocks, bytes of code
+BLOCK, FILE_BLOCKS, SMALL_PART, LARGE_PART = 1 << 20, 16, 8 << 20, 128 << 20  # bytes of code, blocks, bytes of code
 STRETCH = 1 << 19  # ids
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1  # of the four ranks of each control byte
 
@@ -111,7 +111,7 @@ def _tokenised(batches, path: str, closing: int):
     import pyarrow as pa
 
     encode_texts = encoder(path)
-    for t, texts in text_batches(batches):
+    for t, texts in text_batches(batches, limit=2 << 20):
         ids, first = encode_texts(texts, closing)
         wide = ids.max(initial=0) >= 1 << 16
         raw = memoryview(ids.astype("<u4" if wide else "<u2").tobytes())
@@ -122,6 +122,7 @@ def _tokenised(batches, path: str, closing: int):
 
 def _flat(batches):
     """Stored rows (two or four bytes an id) a stretch of at most about ``STRETCH`` ids at a time: the rows, all ids in a row, where each row's begin."""
+    release()
     for batch in batches:
         upto = np.cumsum(batch.column("n_tokens").to_numpy())
         at = 0
@@ -159,6 +160,7 @@ def _encoded(batches, rank):
 def _blocks(batches):
     import pyarrow as pa
 
+    release()
     part, number = TaskContext.get().partitionId(), 0
     held, size = [], 0
 
@@ -180,6 +182,7 @@ def _blocks(batches):
 def _rows(batches, id_of, with_ids: bool):
     import pyarrow as pa
 
+    release()
     for b in batches:
         for content in b.column("content"):
             content = memoryview(content.as_buffer())

@@ -132,3 +132,8 @@ def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
+
+
+def release() -> None:
+    """Give back this worker's memory of words: for the stages that come after tokenising."""
+    _ENCODERS.clear()
