@@ -33,7 +33,7 @@ def _pieces(batches, path: str, window: int, closing: int, with_ids: bool):
     import pyarrow as pa
 
     encode = encoder(path)
-    for t, texts in text_batches(batches):
+    for t, texts in text_batches(batches, limit=6 << 20):
         ids, first = encode(texts, closing)
         tokens = np.diff(first)
         pieces = -(-tokens // window)

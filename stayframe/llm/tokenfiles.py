@@ -111,7 +111,7 @@ def _tokenised(batches, path: str, closing: int):
     import pyarrow as pa
 
     encode_texts = encoder(path)
-    for t, texts in text_batches(batches, limit=2 << 20):
+    for t, texts in text_batches(batches, limit=6 << 20):
         ids, first = encode_texts(texts, closing)
         wide = ids.max(initial=0) >= 1 << 16
         raw = memoryview(ids.astype("<u4" if wide else "<u2").tobytes())

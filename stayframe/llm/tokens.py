@@ -19,6 +19,14 @@ _ENDERS = frozenset(".,;:!?*#$%&|")
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
+class _Places(dict):
+    """Words' places, dealt out as new words are asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = place = len(self)
+        return place
+
+
 class Encoder:
     """Ids of batches of texts, with a bounded memory of words seen (``keep`` words, then it starts anew)."""
 
@@ -32,21 +40,21 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.code: dict[bytes, int] = {}
-        self.ids, self.first, self.n = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), 0
+        self.place = _Places()
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.at, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)  # of each word's ids
 
     def _store(self, words: list[bytes], flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
-        """Keep the ids flat[start:end] of each word; self.first[k:k + 2] bounds those of the k-th."""
-        n, length = len(self.code), end - start
-        first = self.n + np.concatenate(([0], np.cumsum(length)))
+        """Keep the ids flat[start:end] of each word."""
+        places, count = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words)), end - start
+        first = self.used + np.concatenate(([0], np.cumsum(count)))
         while first[-1] > len(self.ids):
             self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-        while n + len(words) + 1 > len(self.first):
-            self.first = np.concatenate((self.first, np.zeros_like(self.first)))
-        self.ids[self.n : first[-1]] = flat[np.repeat(start - first[:-1], length) + np.arange(self.n, first[-1])]
-        self.first[n : n + len(words) + 1] = first
-        self.code.update(zip(words, range(n, n + len(words))))
-        self.n = int(first[-1])
+        while len(self.place) > len(self.at):
+            self.at, self.count = (np.concatenate((x, np.zeros_like(x))) for x in (self.at, self.count))
+        self.ids[self.used : first[-1]] = flat[np.repeat(start - first[:-1], count) + np.arange(self.used, first[-1])]
+        self.at[places], self.count[places] = first[:-1], count
+        self.used = int(first[-1])
 
     def _run(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
@@ -89,7 +97,7 @@ class Encoder:
             flat = self._run(w.decode())
             self._store([w], flat, np.zeros(1, np.int64), np.array([len(flat)]))
 
-    def _codes(self, raw: np.ndarray, length: np.ndarray) -> np.ndarray:
+    def _places(self, raw: np.ndarray, length: np.ndarray) -> np.ndarray:
         """The place of each word, given all words' bytes in a row and their lengths."""
         import pyarrow as pa
 
@@ -98,13 +106,13 @@ class Encoder:
         raw = np.where((raw >= 65) & (raw <= 90) & np.repeat(~as_is, length), raw + np.uint8(32), raw)
         words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(first), pa.py_buffer(raw)]).dictionary_encode()
         distinct = words.dictionary.to_pylist()
-        new = [w for w in distinct if w not in self.code]
-        if len(self.code) + len(new) > self.keep:
+        if len(self.place) + len(distinct) > self.keep:
             self._forget()
-            new = distinct
-        if new:
-            self._learn(new)
-        return np.array([self.code[w] for w in distinct], np.int64)[words.indices.to_numpy()]
+        known = len(self.place)
+        places = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))
+        if len(self.place) > known:
+            self._learn([distinct[k] for k in np.flatnonzero(places >= known)])
+        return places[words.indices.to_numpy()]
 
     def __call__(self, texts: list[bytes], closing: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids in a row (each text's followed by ``closing``, if given), and where each text's begin (one more than texts)."""
@@ -115,8 +123,8 @@ class Encoder:
         length = length - start
         text_start = np.cumsum([0, *map(len, texts)]) + np.arange(len(texts) + 1)
         upto = np.searchsorted(start, text_start)  # words before each text
-        code = self._codes(raw[word], length) if len(start) else np.zeros(0, np.int64)
-        at, n = self.first[code], self.first[code + 1] - self.first[code]
+        place = self._places(raw[word], length) if len(start) else np.zeros(0, np.int64)
+        at, n = self.at[place], self.count[place]
         before = np.concatenate(([0], np.cumsum(n)))
         ids = self.ids[np.repeat(at - before[:-1], n) + np.arange(before[-1])]
         first = before[upto]
