@@ -104,6 +104,7 @@ CONTRACT = {
     "op8_secrets": "doc_id:bigint,n_assign:bigint,n_access:bigint,n_hex:bigint,base_sha256:string,spans:string",
     "op9_simhash": "doc_id:bigint,fingerprint:string,component_id:bigint",
     "op10_quality": "doc_id:bigint,held_out:boolean,score:double,predicted:int",
+    "op11_spelling": "word:string,form:string,root:string,n:bigint,n_near:bigint,form_n:bigint",
     "op13_token_files": "doc_id:bigint,start:bigint,n_tokens:bigint,ids_crc32:bigint",
 }
 
