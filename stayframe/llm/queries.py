@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stayframe.llm import chat, decontaminate, language, neighbours, packing, pii, quality, secrets, simhash, spelling, substrings, tokenfiles
+from stayframe.llm import chat, decontaminate, language, neighbours, packing, pii, quality, secrets, simhash, spelling, substrings, tokenfiles, whitening
 from stayframe.llm.common import table
 from stayframe.session import tune
 
@@ -55,6 +55,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_rows(table(spark, sf_dir, "embeddings"))
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.token_rows(table(spark, sf_dir, "documents"), public_tokenizers.path(packing.VOCABULARY))
 
@@ -65,7 +69,7 @@ def _tuned(fn):
 
 _ALL = (
     op1_substrings, op2_packing, op3_pii, op4_decontaminate, op5_chat_format, op6_language, op7_neighbours, op8_secrets, op9_simhash, op10_quality,
-    op11_spelling, op13_token_files,
+    op11_spelling, op12_whitening, op13_token_files,
 )
 QUERIES = {f.__name__: _tuned(f) for f in _ALL}
 SQL = {"op1_substrings": substrings.SUBSTRINGS_SQL, "op4_decontaminate": decontaminate.LEAKS_SQL, "op5_chat_format": chat.CHAT_SQL, "op11_spelling": spelling.SPELLING_SQL}

@@ -105,6 +105,7 @@ CONTRACT = {
     "op9_simhash": "doc_id:bigint,fingerprint:string,component_id:bigint",
     "op10_quality": "doc_id:bigint,held_out:boolean,score:double,predicted:int",
     "op11_spelling": "word:string,form:string,root:string,n:bigint,n_near:bigint,form_n:bigint",
+    "op12_whitening": "vec_id:bigint,component:int,n:bigint,deviation:bigint,whitened:double,explained:double,identity_error:double",
     "op13_token_files": "doc_id:bigint,start:bigint,n_tokens:bigint,ids_crc32:bigint",
 }
 
