@@ -54,9 +54,13 @@ def cumulative_counts(
 ) -> DataFrame:
     """Per distinct score (descending): pos, neg, tp = positives with score
     >= s, fp likewise, and group totals P, N (plus alerted counts)."""
-    h = score_histogram(df, score, label, by, alert)
-    c = global_prefix(h, [F.col(score).desc()], ["pos", "neg"], by, totals=True)
     extra = ["pos_alert", "neg_alert"] if alert is not None else []
+    return cumulative_of_counts(score_histogram(df, score, label, by, alert), score, by, extra)
+
+
+def cumulative_of_counts(h: DataFrame, score: str = "score", by: Sequence[str] = (), extra: Sequence[str] = ()) -> DataFrame:
+    """``cumulative_counts`` from counts ``pos``, ``neg`` per distinct score."""
+    c = global_prefix(h, [F.col(score).desc()], ["pos", "neg"], by, totals=True)
     return c.select(
         *by,
         score,
@@ -93,7 +97,12 @@ def _ranking_cols() -> list[Column]:
 
 def ranking_metrics(df: DataFrame, score: str = "score", label: str = LABEL, by: Sequence[str] = ()) -> DataFrame:
     """EVL2 + EVL3: ``n_pos, n_neg, auroc, auprc`` per group."""
-    c = cumulative_counts(df, score, label, by)
+    return ranking_of_counts(score_histogram(df, score, label, by), score, by)
+
+
+def ranking_of_counts(h: DataFrame, score: str = "score", by: Sequence[str] = ()) -> DataFrame:
+    """``ranking_metrics`` from counts ``pos``, ``neg`` per distinct score."""
+    c = cumulative_of_counts(h, score, by)
     return c.groupBy(*by).agg(*_ranking_aggs()).select(*by, "n_pos", "n_neg", *_ranking_cols())
 
 

@@ -2,12 +2,12 @@
 
 The boosted-tree learner is MLlib's ``GBTClassifier`` (distributed over the
 cluster, no single-machine library): the reference settings map onto its
-parameters as closely as MLlib allows.  MLlib trees reject NaN, so missing
-features get a sentinel value; the explicit ``*_missing`` flags carry the
-missingness signal.  All ``max_iter`` rounds are trained on the training
-split: MLlib can only stop at the first round that gains too little, not
-after a patience of rounds, so no validation column is given to it.  Scoring is a JVM ``transform``; probabilities are taken
-from the vector column without Python.
+parameters as closely as MLlib allows.  MLlib trees reject NaN, so a feature
+that is missing in training rows enters twice, with missing below and with
+missing above all values: every split on it may send missing rows either way.
+Rounds stop by patience on the validation rows (``boosting``).  Scoring is a
+JVM ``transform``; probabilities are taken from the vector column without
+Python.
 """
 
 from __future__ import annotations
@@ -22,16 +22,19 @@ from pyspark.sql import functions as F
 
 from stayframe.config import LABEL
 from stayframe.functions import flag
+from stayframe.operators.boosting import fit_with_patience
 from stayframe.operators.ordering import with_scalars
+from stayframe.session import checkpoint_dir
 
-SENTINEL = -999.0
+MISSING = 1e300  # beyond all values; with both signs
 
 
 @dataclass(frozen=True)
 class TreeSettings:
     """Boosted-tree settings.  ``v1``: 500 trees, depth 6, learning rate
-    0.05, row and feature sampling 0.8, seed 42.  ``v3``: 1000 trees, depth 5,
-    at least 3 rows per leaf."""
+    0.05, row and feature sampling 0.8, seed 42, stop after 20 rounds without a
+    better validation AP.  ``v3``: 1000 trees, depth 5, at least 3 rows per
+    leaf, stop after 50 rounds without a better AUROC."""
 
     max_iter: int = 500
     max_depth: int = 6
@@ -40,32 +43,40 @@ class TreeSettings:
     feature_subset: str = "0.8"
     min_instances_per_node: int = 1
     seed: int = 42
+    metric: str = "auprc"
+    patience: int = 20
 
 
 # Reference tree settings.
 V1_SETTINGS = TreeSettings()
-V3_SETTINGS = TreeSettings(max_iter=1000, max_depth=5, min_instances_per_node=3)
+V3_SETTINGS = TreeSettings(max_iter=1000, max_depth=5, min_instances_per_node=3, metric="auroc", patience=50)
 
 
-def assembler(features: Sequence[str], out: str = "features", sentinel: float = SENTINEL):
-    """MDL4: pipeline stages that cast features to double, put the sentinel
-    where they are NULL or NaN and gather them in one vector column.  The
-    filled copies are added beside the raw columns, so a fitted pipeline
-    scores any frame that carries the features, whatever else it holds."""
+def assembler(features: Sequence[str], out: str = "features", paired: Sequence[str] | None = None):
+    """MDL4: pipeline stages that cast features to double and gather them in
+    one vector column, with NULL and NaN below all values; the ``paired``
+    features (all by default) follow once more with NULL and NaN above all
+    values.  The filled copies are added beside the raw columns, so a fitted
+    pipeline scores any frame that carries the features, whatever else it
+    holds."""
     from pyspark.ml.feature import SQLTransformer, VectorAssembler
 
-    filled = [f"_filled_{i}" for i in range(len(features))]
-    fill = ", ".join(
-        f"CASE WHEN `{c}` IS NULL OR isnan(CAST(`{c}` AS DOUBLE)) THEN {sentinel} ELSE CAST(`{c}` AS DOUBLE) END AS `{f}`"
-        for c, f in zip(features, filled)
-    )
+    twice = set(features if paired is None else paired)
+    copies = [(f"_low_{i}", c, -MISSING) for i, c in enumerate(features)] + [(f"_high_{i}", c, MISSING) for i, c in enumerate(features) if c in twice]
+    fill = ", ".join(f"CASE WHEN `{c}` IS NULL OR isnan(CAST(`{c}` AS DOUBLE)) THEN DOUBLE({v}) ELSE CAST(`{c}` AS DOUBLE) END AS `{name}`" for name, c, v in copies)
     return [
         SQLTransformer(statement=f"SELECT *, {fill} FROM __THIS__"),
-        VectorAssembler(inputCols=filled, outputCol=out),
+        VectorAssembler(inputCols=[name for name, *_ in copies], outputCol=out),
     ]
 
 
-def train(
+def sometimes_missing(df: DataFrame, features: Sequence[str]) -> list[str]:
+    """The features that are NULL or NaN in some row (one aggregation)."""
+    seen = df.agg(*[F.max(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(f"m{i}") for i, c in enumerate(features)]).first()
+    return [c for i, c in enumerate(features) if seen[f"m{i}"]]
+
+
+def train_with_history(
     df: DataFrame,
     features: Sequence[str],
     settings: TreeSettings = V1_SETTINGS,
@@ -73,14 +84,27 @@ def train(
     weight: str | None = "weight",
     split: str | None = "split",
 ):
-    """MDL2/MDL3: fit on the ``split == 'train'`` rows (all rows without a
-    split column).  Returns a ``PipelineModel`` (assembler + trees) that
-    scores raw feature columns."""
-    from pyspark.ml import Pipeline
+    """MDL2/MDL3: ``(model, history)``.  Fits on the ``split == 'train'`` rows
+    (all rows without a split column); the ``'val'`` rows choose the number of
+    rounds by patience (without any, all rounds are kept and the history is
+    empty).  The model is a ``PipelineModel`` (assembler + trees) that scores
+    raw feature columns; the history has the validation metrics of each round."""
+    from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.classification import GBTClassifier
 
-    data = df.where(F.col(split) == "train") if split and split in df.columns else df
-    stages = assembler(features)
+    checkpoint_dir(df.sparkSession)
+    has_split = bool(split) and split in df.columns
+    data = df.where(F.col(split) == "train") if has_split else df
+    weighted = bool(weight) and weight in df.columns
+    stages = Pipeline(stages=assembler(features, paired=sometimes_missing(data, features))).fit(df).stages
+
+    def stored(rows: DataFrame) -> DataFrame:
+        """Feature vectors in few partitions (AQE sizes them), read again by every round."""
+        for s in stages:
+            rows = s.transform(rows)
+        cols = ["features", F.col(label).cast("double").alias(label), *([weight] if weighted else [])]
+        return rows.select(*cols).hint("rebalance").checkpoint()
+
     gbt = GBTClassifier(
         featuresCol="features",
         labelCol=label,
@@ -92,22 +116,40 @@ def train(
         minInstancesPerNode=settings.min_instances_per_node,
         seed=settings.seed,
     )
-    if weight and weight in df.columns:
+    if weighted:
         gbt.setWeightCol(weight)
-    stages.append(gbt)
-    data = data.withColumn(label, F.col(label).cast("double"))
-    return Pipeline(stages=stages).fit(data)
+    rows = stored(data)
+    validation = stored(df.where(F.col(split) == "val")) if has_split else None
+    if validation is None or validation.isEmpty():
+        trees, history = gbt.fit(rows), []
+    else:
+        trees, history = fit_with_patience(gbt, rows, validation, label, settings.metric, settings.patience)
+    return PipelineModel([*stages, trees]), history
+
+
+def train(
+    df: DataFrame,
+    features: Sequence[str],
+    settings: TreeSettings = V1_SETTINGS,
+    label: str = LABEL,
+    weight: str | None = "weight",
+    split: str | None = "split",
+):
+    """MDL2/MDL3: the model of ``train_with_history``."""
+    return train_with_history(df, features, settings, label, weight, split)[0]
 
 
 def importances(model, features: Sequence[str], k: int = 15) -> DataFrame:
-    """MDL5: top-k named feature importances, descending (ties by name)."""
+    """MDL5: top-k named feature importances, descending (ties by name); a
+    feature's two copies count together."""
     from pyspark.sql import SparkSession
 
     spark = SparkSession.getActiveSession()
-    trees = model.stages[-1]
-    vals = trees.featureImportances.toArray().tolist()
-    rows = list(zip(list(features), [float(v) for v in vals]))
-    df = spark.createDataFrame(rows, "feature string, importance double")
+    names, trees = list(features), model.stages[-1]
+    total = dict.fromkeys(names, 0.0)
+    for copy, value in zip(model.stages[-2].getInputCols(), trees.featureImportances.toArray().tolist()):
+        total[names[int(copy.rsplit("_", 1)[1])]] += float(value)
+    df = spark.createDataFrame(list(total.items()), "feature string, importance double")
     return df.orderBy(F.col("importance").desc(), F.col("feature").asc()).limit(int(k))
 
 
