@@ -64,7 +64,8 @@ def windowed_labs(labs: DataFrame, stays: DataFrame, cfg: WindowConfig) -> DataF
         ev = _prepared(labs.select(STAY, TIME, ITEM, VALUE), cfg.lab_items)
         j = attach_stays(ev, stays, cols=_stay_columns(stays, INTIME))
     else:
-        ev = _prepared(labs.select(ADMISSION, TIME, ITEM, VALUE), cfg.lab_items)
+        # Few narrow rows before the fan-out: spread by admission (AQE sizes the parts and splits a hot admission's).
+        ev = _prepared(labs.select(ADMISSION, TIME, ITEM, VALUE), cfg.lab_items).hint("rebalance", ADMISSION)
         j = attach_admission_stays(ev, stays, cols=_stay_columns(stays, STAY, INTIME))
     j = drop_before_start(j)
     return _within_grid(assign_window(j, cfg))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from stayframe.config import LABEL
 from stayframe.functions import safe_div
-from stayframe.operators.ordering import global_prefix, union_parts
+from stayframe.operators.ordering import global_prefix, global_previous, union_parts
 
 
 def score_histogram(
@@ -150,10 +150,19 @@ def report_metrics(
     )
 
 
-def roc_curve(df: DataFrame, score: str = "score", label: str = LABEL, by: Sequence[str] = ()) -> DataFrame:
+def roc_curve(df: DataFrame, score: str = "score", label: str = LABEL, by: Sequence[str] = (), thin: bool = False) -> DataFrame:
     """EVL4: ``threshold, tpr, fpr`` at every distinct score plus the
-    starting point (+inf, 0, 0); NULL rates for one-class groups."""
+    starting point (+inf, 0, 0); NULL rates for one-class groups.
+
+    ``thin`` leaves out the inner points on a straight line between their
+    neighbours with equal steps, as a curve drawn by the reference does: a
+    point whose next step adds the same numbers of positives and negatives as
+    its own.  The first and the last score always stay."""
     c = cumulative_counts(df, score, label, by)
+    if thin:
+        after = global_previous(c, [F.col(score).asc()], ["pos", "neg"], by, prefix="_next_")
+        first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+        c = after.where(first | F.col("_next_pos").isNull() | (F.col("_next_pos") != F.col("pos")) | (F.col("_next_neg") != F.col("neg")))
     pts = c.select(
         *by,
         F.col(score).cast("double").alias("threshold"),

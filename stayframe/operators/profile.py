@@ -20,6 +20,9 @@ from stayframe.config import ITEM, LABEL, SUBJECT, TIME
 from stayframe.functions import nan_to_null, safe_div
 from stayframe.operators.ordering import global_prefix, with_scalars
 
+SKETCH, SKETCH_ERROR = 4096, 0.001  # size of a quantile sketch, and how far a rank may be off
+TERMS, REACH = 21, 9  # of the density's expansion; cells on either side of a grid point's own
+
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """AGG7: rows per value (NULL is its own value)."""
@@ -34,18 +37,14 @@ def rate_by(df: DataFrame, col: str, label: str = LABEL) -> DataFrame:
     )
 
 
-def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    names: Sequence[str] | None = None,
-) -> DataFrame:
-    """Linear-interpolation quantiles per group, exact and distributed."""
-    names = list(names or [f"q{int(round(p * 100))}" for p in probs])
+def _ranked_counts(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """One row per group and distinct value with its rows ``_k``, the rows up to it ``_k_cum`` and the group's ``_k_total``."""
     v = df.select(*by, nan_to_null(F.col(value).cast("double")).alias(value)).where(F.col(value).isNotNull())
     counts = v.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_k"))
-    ranked = global_prefix(counts, [F.col(value).asc()], ["_k"], by, totals=True)
+    return global_prefix(counts, [F.col(value).asc()], ["_k"], by, totals=True)
+
+
+def _quantiles_of(ranked: DataFrame, value: str, probs: Sequence[float], by: Sequence[str], names: Sequence[str]) -> DataFrame:
     n1 = F.col("_k_total").cast("double") - F.lit(1.0)
     # a value's rows have the 0-based ranks _k_cum - _k .. _k_cum - 1
     holds = lambda at: (F.col("_k_cum") - F.col("_k") <= at) & (at < F.col("_k_cum"))
@@ -72,26 +71,59 @@ def exact_quantiles(
     return g.select(*out)
 
 
+def exact_quantiles(
+    df: DataFrame,
+    value: str,
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    names: Sequence[str] | None = None,
+) -> DataFrame:
+    """Linear-interpolation quantiles per group, exact and distributed."""
+    names = list(names or [f"q{int(round(p * 100))}" for p in probs])
+    return _quantiles_of(_ranked_counts(df, value, by), value, probs, by, names)
+
+
 def describe_by(df: DataFrame, value: str, group: str, digits: int = 1) -> DataFrame:
     """AGG9: count, mean, std, min, 25/50/75 %, max of ``value`` per group,
-    rounded like a printed summary."""
-    df = df.select(group, nan_to_null(F.col(value).cast("double")).alias(value))
-    base = df.where(F.col(value).isNotNull()).groupBy(group).agg(
-        F.count(value).alias("count"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).cast("double").alias("min"),
-        F.max(value).cast("double").alias("max"),
+    rounded like a printed summary.  ``df`` is evaluated once: everything comes
+    from its counts per distinct value."""
+    ranked = _ranked_counts(df, value, [group])
+    k, x = F.col("_k").cast("double"), F.col(value)
+    base = ranked.groupBy(group).agg(
+        F.sum("_k").alias("count"),
+        (F.sum(k * x) / F.sum(k)).alias("mean"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
     )
-    q = exact_quantiles(df, value, [0.25, 0.5, 0.75], [group], ["p25", "p50", "p75"])
-    j = base.join(q, group, "left")
+    off = F.col(value) - F.col("mean")
+    spread = ranked.join(base.select(group, "mean"), group).groupBy(group).agg(F.sum(k * off * off).alias("_ss"))
+    q = _quantiles_of(ranked, value, [0.25, 0.5, 0.75], [group], ["p25", "p50", "p75"])
+    j = base.join(spread, group).join(q, group).withColumn("std", F.when(F.col("count") > 1, F.sqrt(F.col("_ss") / (F.col("count") - 1))))
     r = lambda c: F.round(F.col(c), digits).alias(c)
     return j.select(group, F.col("count").cast("double").alias("count"), r("mean"), r("std"), r("min"), r("p25"), r("p50"), r("p75"), r("max"))
 
 
+def quantile_sketches(df: DataFrame, value: str, by: Sequence[str], size: int = SKETCH) -> DataFrame:
+    """AGG9 at scale: per group the rows ``n`` and a mergeable quantile sketch
+    of ``value`` (a few KB, whatever the rows).  Store them per day; new days
+    add rows, nothing is read again."""
+    v = df.select(*by, nan_to_null(F.col(value).cast("double")).alias(value)).where(F.col(value).isNotNull())
+    return v.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(value, F.lit(size)).alias("sketch"))
+
+
+def merged_quantiles(sketches: DataFrame, probs: Sequence[float], by: Sequence[str] = (), names: Sequence[str] | None = None, size: int = SKETCH) -> DataFrame:
+    """AGG9 at scale: quantiles per group from stored sketches.  A value given
+    for probability ``p`` has a rank within ``SKETCH_ERROR`` of ``p`` (the
+    sketch's bound at 99 % confidence for its size)."""
+    names = list(names or [f"q{int(round(p * 100))}" for p in probs])
+    merged = sketches.groupBy(*by).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", F.lit(size)).alias("_s"))
+    return merged.select(*by, "n", *[F.kll_sketch_get_quantile_double("_s", F.lit(float(p))).alias(name) for p, name in zip(probs, names)])
+
+
 def cohort_summary(cohort: DataFrame, label: str = LABEL, age: str = "anchor_age", los: str = "los_icu_hours") -> DataFrame:
     """AGG10: one row: stays, distinct subjects, positives and rate, median /
-    min / max age, median length of stay, gender counts (when present)."""
+    min / max age, median length of stay, gender counts (when present).  Both
+    medians come from one prefix sum over the values of both columns."""
     aggs = [
         F.count(F.lit(1)).alias("n_stays"),
         F.count_distinct(SUBJECT).alias("n_subjects"),
@@ -103,9 +135,10 @@ def cohort_summary(cohort: DataFrame, label: str = LABEL, age: str = "anchor_age
     if "gender" in cohort.columns:
         aggs += [F.count_if(F.col("gender") == "M").alias("n_male"), F.count_if(F.col("gender") == "F").alias("n_female")]
     base = cohort.agg(*aggs)
-    med_age = exact_quantiles(cohort, age, [0.5], names=["median_age"])
-    med_los = exact_quantiles(cohort, los, [0.5], names=["median_los_hours"])
-    return with_scalars(with_scalars(base, med_age), med_los)
+    both = F.array(*[F.struct(F.lit(name).alias("name"), F.col(c).cast("double").alias("value")) for name, c in (("age", age), ("los", los))])
+    medians = exact_quantiles(cohort.select(F.inline(both)), "value", [0.5], ["name"], ["median"])
+    medians = medians.agg(*[F.max(F.when(F.col("name") == name, F.col("median"))).alias(out) for name, out in (("age", "median_age"), ("los", "median_los_hours"))])
+    return with_scalars(base, medians)
 
 
 def histogram(
@@ -148,11 +181,20 @@ def density(
 
     Each group has its own grid of ``grid_points`` points, from half its range
     below its minimum to half its range above its maximum.  The bandwidth
-    follows Scott's rule (``std * n^(-1/5)``).  Every distinct value counts
-    with its number of rows, so the sum is exact; values meet grid points in
-    an equi-join on the group and are summed with map-side partials.  Groups
-    of one distinct value have no bandwidth and a NULL density.  One pass
-    over ``df``: the statistics come from the counts."""
+    follows Scott's rule (``std * n^(-1/5)``).  Groups of one distinct value
+    have no bandwidth and a NULL density.  One pass over ``df``: the statistics
+    come from the counts.
+
+    Values never meet grid points one by one.  They are folded (map-side
+    partials) to the moments of cells one bandwidth wide; with ``u`` and ``t``
+    a value's and a point's distance from the cell's centre in bandwidths, the
+    kernel is ``exp(-t^2/2) * sum He_k(t) u^k / k!`` (Hermite polynomials), and
+    each point reads the ``REACH`` cells on either side of its own.  Error, as
+    a share of the greatest density a group of its size could have: below
+    ``1.09 * 0.5^21 / sqrt(21!) * 1.2 < 1e-16`` for the ``TERMS`` = 21 terms
+    kept (Cramer's bound on He_k), and below ``exp(-8.5^2 / 2) < 3e-16`` for
+    the cells left out.  The rows exploded are grid points x 19 a group,
+    whatever the number of values."""
     by = list(by)
     v = df.select(*by, nan_to_null(F.col(value).cast("double")).alias("_v")).where(F.col("_v").isNotNull())
     counts = v.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_k"))
@@ -165,12 +207,32 @@ def density(
     stats = stats.withColumn("_bw", F.when(F.col("_sd") > 0, F.col("_sd") * F.pow("_n", F.lit(-0.2))))
     pad = (F.col("_hi") - F.col("_lo")) / F.lit(2.0)
     step = F.lit(2.0) * (F.col("_hi") - F.col("_lo")) / F.lit(float(max(grid_points - 1, 1)))
-    # Every value takes part in all grid points of its group: the points are bounded, the values are partitioned.
-    points = with_group(counts, stats).withColumn("grid_index", F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))))
+    cells = with_group(counts, stats.select(*by, "_lo", "_bw")).where(F.col("_bw").isNotNull())
+    cells = cells.withColumn("_cell", F.floor((F.col("_v") - F.col("_lo")) / F.col("_bw")))
+    u = (F.col("_v") - F.col("_lo")) / F.col("_bw") - F.col("_cell") - F.lit(0.5)
+    powers = [k]
+    for i in range(1, TERMS):
+        powers.append(powers[-1] * F.col("_u") / F.lit(float(i)))
+    moments = cells.withColumn("_u", u).groupBy(*by, "_cell").agg(F.array(*[F.sum(x) for x in powers]).alias("_m"))
+
+    points = stats.withColumn("grid_index", F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))))
     points = points.withColumn("x", F.col("_lo") - pad + step * F.col("grid_index"))
-    kernel = F.col("_k") * F.exp(F.lit(-0.5) * F.pow((F.col("x") - F.col("_v")) / F.col("_bw"), F.lit(2.0)))
-    dens = safe_div(F.sum(kernel) * F.lit(1.0 / math.sqrt(2 * math.pi)), F.max("_n") * F.max("_bw"))
-    return points.groupBy(*by, "grid_index").agg(F.max("x").alias("x"), dens.alias("density"))
+    at = (F.col("x") - F.col("_lo")) / F.col("_bw")
+    points = points.withColumn("_at", at).withColumn("_near", F.coalesce(F.floor("_at"), F.lit(0)))
+    points = points.withColumn("_cell", F.explode(F.sequence(F.col("_near") - REACH, F.col("_near") + REACH)))
+    met = points.join(moments, [*by, "_cell"], "left")
+    t = F.col("_at") - F.col("_cell") - F.lit(0.5)
+    zero = F.struct(F.lit(0.0).alias("a"), F.lit(1.0).alias("b"), F.lit(0.0).alias("k"), F.lit(0.0).alias("s"))
+    hermite = F.aggregate(
+        "_m",
+        zero,
+        lambda h, m: F.struct(h["b"].alias("a"), (F.col("_t") * h["b"] - h["k"] * h["a"]).alias("b"), (h["k"] + F.lit(1.0)).alias("k"), (h["s"] + m * h["b"]).alias("s")),
+        lambda h: h["s"],
+    )
+    met = met.withColumn("_t", t).withColumn("_part", F.exp(F.lit(-0.5) * F.col("_t") * F.col("_t")) * hermite)
+    kernel = F.coalesce(F.sum("_part"), F.lit(0.0))
+    dens = safe_div(kernel * F.lit(1.0 / math.sqrt(2 * math.pi)), F.max("_n") * F.max("_bw"))
+    return met.groupBy(*by, "grid_index").agg(F.max("x").alias("x"), dens.alias("density"))
 
 
 def item_profile(df: DataFrame, item: str = ITEM, time: str = TIME) -> DataFrame:

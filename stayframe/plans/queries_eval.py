@@ -357,6 +357,31 @@ c AS (SELECT s, sum(pos) OVER (ORDER BY s DESC) AS tp, sum(neg) OVER (ORDER BY s
 )(_roc)
 
 
+def _roc_thin(spark, sf_dir):
+    p, _ = scored_gold(spark, sf_dir, "lineitem")
+    return roc_curve(p, "sepsis_prob", LABEL, thin=True)
+
+
+register(
+    "EVL4_roc_thinned_lineitem",
+    Q.with_mapping(
+        "lineitem",
+        """SELECT 'inf'::DOUBLE AS threshold, 0.0 AS tpr, 0.0 AS fpr
+UNION ALL
+SELECT c.s, c.tp / tot.P, c.fp / tot.N FROM c CROSS JOIN tot
+WHERE before IS NULL OR after_pos IS NULL OR after_pos <> pos OR after_neg <> neg""",
+        _score_sql("lineitem")
+        + """,
+h AS (SELECT sepsis_prob AS s, count(*) FILTER (WHERE sepsis_label = 1) AS pos,
+             count(*) FILTER (WHERE sepsis_label = 0) AS neg FROM pred GROUP BY sepsis_prob),
+tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM h),
+c AS (SELECT s, pos, neg, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, lag(s) OVER w AS before,
+             lead(pos) OVER w AS after_pos, lead(neg) OVER w AS after_neg FROM h WINDOW w AS (ORDER BY s DESC))""",
+    ),
+    ["threshold", "tpr", "fpr"],
+)(_roc_thin)
+
+
 def _evl5(spark, sf_dir):
     p, _ = scored_gold(spark, sf_dir, "lineitem")
     return at_threshold(p, THRESHOLD, "sepsis_prob", LABEL)

@@ -22,6 +22,9 @@ from stayframe.operators.profile import (
     describe_by,
     histogram,
     item_profile,
+    merged_quantiles,
+    quantile_sketches,
+    SKETCH_ERROR,
     rate_by,
     value_counts,
 )
@@ -493,6 +496,32 @@ register(
 )(_predictions)
 
 
+def _sketched(spark, sf_dir):
+    """Quantiles of each item from stored sketches per item and day, and
+    whether each one's rank among all values is where it should be."""
+    x = inputs(spark, sf_dir, "lineitem")
+    path = scratch_path(spark, "sketches")
+    quantile_sketches(x.vitals.withColumn("day", F.to_date(TIME)), VALUE, [ITEM, "day"]).write.parquet(path)
+    probs = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    found = merged_quantiles(spark.read.parquet(path), list(probs.values()), [ITEM], list(probs))
+    value = F.col(VALUE).cast("double")
+    rows = x.vitals.where(F.col(VALUE).isNotNull()).join(found, ITEM)
+    ranks = rows.groupBy(ITEM, "n").agg(
+        *[((F.count_if(value <= F.col(c)) >= (p - SKETCH_ERROR) * F.col("n")) & (F.count_if(value < F.col(c)) <= (p + SKETCH_ERROR) * F.col("n"))).alias(f"{c}_ok") for c, p in probs.items()]
+    )
+    return _taken(spark, ranks, path)
+
+
+register(
+    "AGG9_quantile_sketches_lineitem",
+    Q.with_mapping(
+        "lineitem",
+        "SELECT itemid, count(valuenum) AS n, true AS p25_ok, true AS p50_ok, true AS p75_ok FROM vitals WHERE valuenum IS NOT NULL GROUP BY itemid",
+        pipeline=False,
+    ),
+)(_sketched)
+
+
 # Model (MDL2-MDL6, SCR1) ---------------------------------------------------------
 def _training_frame(spark, sf_dir):
     x = inputs(spark, sf_dir, "lineitem")
