@@ -37,11 +37,16 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def bounded_sample(df: DataFrame, key: str, bound: int) -> DataFrame:
-    """About ``bound`` rows (all, if there are no more), chosen by the key's hash: the same rows on every run."""
+    """About ``bound`` different rows at most (all, if there are no more), chosen by a hash of the whole row: the same rows on every run.
+
+    Rows with a null key stay out and equal rows count once, so neither a
+    hot key nor rows repeated often make the sample any larger.
+    """
+    df = df.where(F.col(key).isNotNull())
     n = df.count()
-    if n <= bound:
-        return df
-    return df.where(F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)) < int(bound / n * (1 << 30)))
+    if n > bound:
+        df = df.where(F.pmod(F.xxhash64(*df.columns), F.lit(1 << 30)) < int(bound / n * (1 << 30)))
+    return df.dropDuplicates()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

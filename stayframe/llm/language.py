@@ -20,18 +20,16 @@ empty table gives no rows. Lang, source and doc_id never enter a prediction.
 
 from __future__ import annotations
 
-import re
 from functools import partial
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayframe.llm.common import held_out, id_and_text, mix, text_batches
+from stayframe.llm.common import cut, held_out, id_and_text, mix, text_batches
 
 SIZES, PROFILE, SAMPLE, BITS_PER_GRAM, PROBES = (3, 4, 5), 20_000, 6_000, 16, 2
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 # Bytes other than letters become one kind of space; bytes above 127 are parts of letters.
 _CLEAN = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -106,7 +104,7 @@ class Filters:
     def predict(self, texts: list[bytes]) -> list[tuple[str, float]]:
         if not self.languages:
             return [(UNKNOWN, 0.0)] * len(texts)
-        letters = [_LETTER.search(t.decode(errors="replace")) is not None for t in texts]
+        letters = [any(map(str.isalpha, t.decode(errors="replace"))) for t in texts]
         share = self.shares([cleaned(t) for t in texts])
         best, all_of = share.argmax(1), share.sum(1)
         return [
@@ -132,6 +130,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, profile: int = PROFILE) -> Filter
     shares = known.groupBy("lang").agg((F.lit(float(sample)) / F.count("*") * (1 << 30)).alias("share"))  # a row per language
     rows = known.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < F.col("share"))
     counts = rows.select("text", "lang").mapInArrow(_count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    counts = cut(counts)  # read three times
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     rate = counts.join(F.broadcast(totals), "lang").where("n > 1").withColumn("rate", F.col("n") / F.col("total"))  # a row per language
     own = rate.join(rate.groupBy("code").agg(F.max("rate").alias("most")), "code").where("rate * 4 >= most")

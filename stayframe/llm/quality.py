@@ -70,8 +70,8 @@ def terms(texts: list[bytes]) -> np.ndarray:
     return np.hstack((out, said.astype(np.float32)))
 
 
-def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    x = np.log1p(counts)
+def weighted(counts: np.ndarray, idf: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    x = np.log1p(counts, out=out)
     x *= idf
     for part in (x[:, :SLOTS], x[:, SLOTS:]):
         norm = np.sqrt(np.einsum("ij,ij->i", part, part))[:, None]
@@ -82,11 +82,11 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 class Voter:
     """The fitted space: idf, projection, and the unit vectors and labels of the sample."""
 
-    def __init__(self, counts: np.ndarray, labels: np.ndarray, latent: int = LATENT, neighbours: int = NEIGHBOURS):
+    def __init__(self, counts: np.ndarray, labels: np.ndarray, latent: int = LATENT, neighbours: int = NEIGHBOURS, reuse: bool = False):
         self.neighbours = min(neighbours, len(labels))
         self.prior = float(labels.mean()) if len(labels) else 0.5
-        self.idf = np.log((1 + len(labels)) / (1 + (counts > 0).sum(0))).astype(np.float32) + 1
-        x = weighted(counts, self.idf)
+        self.idf = np.log((1 + len(labels)) / (1 + np.count_nonzero(counts, axis=0))).astype(np.float32) + 1
+        x = weighted(counts, self.idf, out=counts if reuse else None)  # in place: the driver holds the matrix once
         # truncated SVD by subspace iteration from a fixed start
         rng = np.random.default_rng(SEED)
         k = min(latent, *x.shape) if len(labels) else 0
@@ -122,16 +122,20 @@ class Voter:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Voter:
-    """A voter from at most about ``sample`` labelled rows (chosen by the hash of doc_id)."""
+    """A voter from at most about ``sample`` different labelled rows (chosen by a hash)."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label")).where("label IN (0, 1) AND doc_id IS NOT NULL").distinct()
     known = bounded_sample(known, "doc_id", sample)
-    rows = id_and_text(docs).join(F.broadcast(known), "doc_id").select("doc_id", "text", "label").mapInArrow(_sampled, "doc_id long, label int, counts binary").collect()
+    labelled = id_and_text(docs).join(F.broadcast(known), "doc_id").select("doc_id", "text", "label")
+    labelled = bounded_sample(labelled, "doc_id", sample)  # a labelled doc_id may stand on many rows
+    rows = labelled.mapInArrow(_sampled, "doc_id long, label int, counts binary").collect()
     rows.sort(key=lambda r: (r.doc_id, r.label, r.counts))
     counts = np.zeros((len(rows), SLOTS + WORD_SLOTS), np.float32)
     for row, r in zip(counts, rows):
         n = len(r.counts) // 6
         row[np.frombuffer(r.counts, "<u2", n)] = np.frombuffer(r.counts, "<f4", n, 2 * n)
-    return Voter(counts, np.array([r.label for r in rows], np.float32))
+    labels = np.array([r.label for r in rows], np.float32)
+    del rows
+    return Voter(counts, labels, reuse=True)
 
 
 def _sampled(batches):
