@@ -33,7 +33,7 @@ def _pieces(batches, path: str, window: int, closing: int, with_ids: bool):
     import pyarrow as pa
 
     encode = encoder(path)
-    for t, texts in text_batches(batches, limit=6 << 20):
+    for t, texts in text_batches(batches, limit=2 << 20):
         ids, first = encode(texts, closing)
         tokens = np.diff(first)
         pieces = -(-tokens // window)
@@ -49,6 +49,7 @@ def _pieces(batches, path: str, window: int, closing: int, with_ids: bool):
             out.append(pa.ListArray.from_arrays(pa.array(np.append(at, len(ids)), pa.int32()), pa.array(ids.astype(np.int32))))
             names.append("ids")
         yield pa.RecordBatch.from_arrays(out, names)
+    pa.default_memory_pool().release_unused()  # the worker lives on
 
 
 def cut_pieces(docs: DataFrame, path: str, window: int = WINDOW, closing: int = CLOSING_ID, with_ids: bool = False) -> DataFrame:

@@ -111,13 +111,14 @@ def _tokenised(batches, path: str, closing: int):
     import pyarrow as pa
 
     encode_texts = encoder(path)
-    for t, texts in text_batches(batches, limit=6 << 20):
+    for t, texts in text_batches(batches, limit=2 << 20):
         ids, first = encode_texts(texts, closing)
         wide = ids.max(initial=0) >= 1 << 16
         raw = memoryview(ids.astype("<u4" if wide else "<u2").tobytes())
         size = 4 if wide else 2
         parts = [raw[a:b] for a, b in zip((size * first[:-1]).tolist(), (size * first[1:]).tolist())]
         yield pa.RecordBatch.from_arrays([t.column("doc_id").combine_chunks(), pa.array(np.diff(first)), pa.array(parts, pa.binary())], ["doc_id", "n_tokens", "ids"])
+    pa.default_memory_pool().release_unused()  # the worker lives on
 
 
 def _flat(batches):
