@@ -38,8 +38,8 @@ from stayframe.operators.ordering import global_prefix
 from stayframe.session import remove_scratch, scratch_path
 
 MAGIC, HEAD = b"SVTB", struct.Struct("<4sIQQQQ")
-BLOCK, FILE_BLOCKS, SMALL_PART, LARGE_PART = 1 << 20, 16, 8 << 20, 128 << 20  # bytes of code, blocks, bytes of code
-STRETCH = 1 << 19  # ids
+BLOCK, FILE_BLOCKS, SMALL_PART, LARGE_PART = 1 << 20, 4, 8 << 20, 128 << 20  # bytes of code, blocks, bytes of code
+STRETCH = 1 << 18  # ids
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1  # of the four ranks of each control byte
 
 

@@ -30,7 +30,7 @@ class _Places(dict):
 class Encoder:
     """Ids of batches of texts, with a bounded memory of words seen (``keep`` words, then it starts anew)."""
 
-    def __init__(self, path: str, keep: int = 500_000):
+    def __init__(self, path: str, keep: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keep = Tokenizer.from_file(path), keep
