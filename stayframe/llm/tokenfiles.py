@@ -38,8 +38,8 @@ from stayframe.operators.ordering import global_prefix
 from stayframe.session import remove_scratch, scratch_path
 
 MAGIC, HEAD = b"SVTB", struct.Struct("<4sIQQQQ")
-BLOCK, FILE_BLOCKS, SMALL_PART, LARGE_PART = 1 << 20, 4, 8 << 20, 128 << 20  # bytes of code, blocks, bytes of code
-STRETCH = 1 << 18  # ids
+FILE_BLOCKS, SMALL_PART, LARGE_PART = 16, 8 << 20, 128 << 20  # blocks, bytes of code
+STRETCH = 1 << 18  # ids of a block, unless one document has more
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1  # of the four ranks of each control byte
 
 
@@ -148,36 +148,14 @@ def _counted(batches):
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
 
-def _encoded(batches, rank):
+def _blocks(batches, rank):
     import pyarrow as pa
 
-    for rows, ids, first in _flat(batches):
-        control, data, c, d = encode(rank.value[ids], first)
-        raw = [memoryview(x.tobytes()) for x in (control, data)]
-        cols = [pa.array([r[a:z] for a, z in zip(at.tolist(), at[1:].tolist())], pa.binary()) for r, at in zip(raw, (c, d))]
-        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("n_tokens"), *cols], ["doc_id", "n_tokens", "control", "data"])
-
-
-def _blocks(batches):
-    import pyarrow as pa
-
-    release()
-    part, number = TaskContext.get().partitionId(), 0
-    held, size = [], 0
-
-    def block():
-        ids, n, control, data = zip(*held)
-        return pa.RecordBatch.from_arrays([pa.array([pack_block(part << 32 | number, ids, np.array(n), b"".join(control), b"".join(data))], pa.binary())], ["block"])
-
-    for b in batches:
-        for row in zip(*(b.column(k).to_pylist() for k in ("doc_id", "n_tokens", "control", "data"))):
-            held.append(row)
-            size += len(row[2]) + len(row[3]) + 17
-            if size >= BLOCK:
-                yield block()
-                held, size, number = [], 0, number + 1
-    if held:
-        yield block()
+    part = TaskContext.get().partitionId()
+    for number, (rows, ids, first) in enumerate(_flat(batches)):
+        control, data, *_ = encode(rank.value[ids], first)
+        block = pack_block(part << 32 | number, rows.column("doc_id").to_pylist(), np.diff(first), control.tobytes(), data.tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.binary())], ["block"])
 
 
 def _rows(batches, id_of, with_ids: bool):
@@ -222,11 +200,11 @@ def write_token_files(docs: DataFrame, folder: str, path: str, closing: int = CL
     rank[[r.id for r in counts]] = np.arange(len(counts))
     size = sum((1.25 + (k >= 1 << 8) + (k >= 1 << 16)) * r.n for k, r in enumerate(counts))
     parts = max(1, -(-int(size) // LARGE_PART), min(-(-int(size) // SMALL_PART), 2 * spark.sparkContext.defaultParallelism))
-    coded = tokenised.mapInArrow(partial(_encoded, rank=spark.sparkContext.broadcast(rank)), "doc_id long, n_tokens long, control binary, data binary")
-    coded = coded.withColumn("hash", F.xxhash64("data", "control")).withColumn("row", F.monotonically_increasing_id())
+    # Ids cross the shuffle before they are coded, so that the sampling of the ranges runs no Python.
+    rows = tokenised.withColumn("hash", F.xxhash64("ids")).withColumn("row", F.monotonically_increasing_id())
     keys = [F.col("doc_id").asc_nulls_first(), F.col("n_tokens").asc(), F.col("hash").asc(), F.col("row").asc()]  # the row's number parts rows repeated whole
-    ordered = coded.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).drop("hash", "row")
-    blocks = ordered.mapInArrow(_blocks, "block binary")
+    ordered = rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).drop("hash", "row")
+    blocks = ordered.mapInArrow(partial(_blocks, rank=spark.sparkContext.broadcast(rank)), "block binary")
     blocks.select(F.col("block").cast("string")).write.option("maxRecordsPerFile", FILE_BLOCKS).text(f"{folder}/files")
     remove_scratch(spark, kept)
 
