@@ -39,6 +39,7 @@ from stayframe.session import remove_scratch, scratch_path
 
 MAGIC, HEAD = b"SVTB", struct.Struct("<4sIQQQQ")
 FILE_BLOCKS, SMALL_PART, LARGE_PART = 16, 8 << 20, 128 << 20  # blocks, bytes of code
+WORDS = 1_000_000  # that a worker remembers
 STRETCH = 1 << 18  # ids of a block, unless one document has more
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1  # of the four ranks of each control byte
 
@@ -110,7 +111,7 @@ def unpack_block(content: memoryview, docs: int, control: int, data: int, at: in
 def _tokenised(batches, path: str, closing: int):
     import pyarrow as pa
 
-    encode_texts = encoder(path)
+    encode_texts = encoder(path, WORDS)
     for t, texts in text_batches(batches, limit=2 << 20):
         ids, first = encode_texts(texts, closing)
         wide = ids.max(initial=0) >= 1 << 16

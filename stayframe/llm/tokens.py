@@ -13,10 +13,10 @@ import numpy as np
 
 from stayframe.llm.common import SPACE
 
-VOCABULARY, CLOSING_ID = "word_bpe_49k.json", 2
+VOCABULARY, CLOSING_ID, KEEP = "word_bpe_49k.json", 2, 500_000
 SENTINEL = "\ue000"  # stands between words when the ends of their ids can't be told otherwise
 _ENDERS = frozenset(".,;:!?*#$%&|")
-_ENCODERS: dict[str, "Encoder"] = {}
+_ENCODERS: dict[tuple[str, int], "Encoder"] = {}
 
 
 class _Places(dict):
@@ -30,7 +30,7 @@ class _Places(dict):
 class Encoder:
     """Ids of batches of texts, with a bounded memory of words seen (``keep`` words, then it starts anew)."""
 
-    def __init__(self, path: str, keep: int = 1_000_000):
+    def __init__(self, path: str, keep: int = KEEP):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keep = Tokenizer.from_file(path), keep
@@ -135,11 +135,11 @@ class Encoder:
         return out, first + np.arange(len(texts) + 1)
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per worker and vocabulary, so that tasks share the words seen."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, keep: int = KEEP) -> Encoder:
+    """One encoder per worker, vocabulary and bound, so that tasks share the words seen."""
+    if (path, keep) not in _ENCODERS:
+        _ENCODERS[path, keep] = Encoder(path, keep)
+    return _ENCODERS[path, keep]
 
 
 def release() -> None:
