@@ -1,13 +1,19 @@
 """Approximate nearest neighbours by balanced posting lists.
 
-A bounded sample is halved again and again along its widest direction, at the
-median, so the lists are balanced; the means of the parts are the centroids.
-Every vector goes to the list of its nearest centroid and, near a border, also
-to further lists almost as near (``REPLICAS`` at most). A query walks a
-neighbour graph of the centroids held in memory and takes the lists whose
-centroid is not much farther than the nearest (distance ratio); the ratio is
-the least that reaches the target recall within the sample. Lists are cut into
-blocks of bounded size, so a long list is searched by many tasks.
+Centroids are fitted on a bounded sample: halves cut at the median along the
+widest direction, then a few k-means steps in which a list pays for being
+longer than the others, so the lists stay balanced. Every vector goes to the
+list of its nearest centroid and, near a border, also to further lists almost
+as near (``REPLICAS`` at most). A query walks a neighbour graph of the
+centroids held in memory and takes the lists whose centroid is not much
+farther than the nearest (distance ratio); the ratio is the least that reaches
+the target recall within the sample. Lists are cut into blocks of bounded
+size and their queries into chunks of bounded size, so a long list or a list
+that many queries take is searched by many tasks.
+
+The search has two rounds. A query's nearest list gives its ``k + 1`` best
+there and with them a proven lower bound on the score of its ``k + 1`` best
+over all its lists; the other lists hand back only what reaches that bound.
 
 Largest inner product is turned into least distance by one more coordinate,
 ``sqrt(M^2 - |x|^2)`` with M the largest norm, for which queries have 0.
@@ -17,6 +23,10 @@ Copies collapse first: an index entry is a distinct vector with its
 ``k + 1`` smallest ids, which is all that any query can need of a group of
 copies; equal query vectors are searched once.
 
+The number of lists follows the rows up to a sixteenth of the sample; beyond,
+the lists grow. How much of a table a query reads depends on how clustered the
+vectors are, as the ratio is fitted to reach the recall.
+
 Rows with a null vec_id, a null vector, one that holds a null or non-finite
 component, is zero or has another length than most take no part. Rows that
 repeat a vec_id and vector count once. Ties go to the smaller vec_id. With
@@ -35,8 +45,8 @@ from pyspark.sql import functions as F
 
 from stayframe.llm.common import bounded_sample, cut
 
-K, SAMPLE, LIST_ROWS, REPLICAS, BORDER, DEGREE, BLOCK_ROWS, TARGET_RECALL = 20, 20_000, 400, 4, 1.05, 16, 4_096, 0.97
-RATIOS = [1.0, 1.01, 1.02, 1.04, 1.06, 1.08, 1.1, 1.13, 1.16, 1.2, 1.25, 1.3, 1.4, 1.6, 2.0]
+K, SAMPLE, LIST_ROWS, REPLICAS, BORDER, DEGREE, BLOCK_ROWS, QUERY_ROWS = 20, 20_000, 400, 2, 1.1, 16, 8_192, 16_384
+TARGET_RECALL, CHECKED, STEPS = 0.95, 400, 8  # recall aimed at, sample queries it is measured on, k-means steps
 
 
 def usable(rows: DataFrame) -> DataFrame:
@@ -52,6 +62,7 @@ def usable(rows: DataFrame) -> DataFrame:
 @dataclass
 class Index:
     centroids: np.ndarray
+    price: np.ndarray  # what a list adds to squared distances for being long
     graph: np.ndarray  # neighbours of each centroid
     top: float  # the largest norm
     ratio: float = 1.1
@@ -62,17 +73,18 @@ class Index:
         rest = np.sqrt(np.maximum(self.top**2 - (x * x).sum(1), 0))
         return np.concatenate((x, rest[:, None]), 1)
 
-    def lists_of(self, x: np.ndarray, block: int = 1024):
-        """For each row the lists it is kept in."""
+    def lists_of(self, x: np.ndarray, block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+        """Row numbers and the lists these rows are kept in."""
+        rows, lists = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         z = self.lift(x)
-        c2 = (self.centroids**2).sum(1)
         for at in range(0, len(z), block):
-            part = z[at : at + block]
-            d = np.sqrt(np.maximum((part**2).sum(1)[:, None] - 2 * part @ self.centroids.T + c2, 0))
+            d = np.sqrt(np.maximum(_squares(z[at : at + block], self.centroids) + self.price, 0))
             near = np.argsort(d, axis=1, kind="stable")[:, :REPLICAS]
             dist = np.take_along_axis(d, near, 1)
-            for row, keep in zip(near, dist <= BORDER * dist[:, :1]):
-                yield row[keep]
+            row, place = np.nonzero(dist <= BORDER * dist[:, :1])
+            rows.append(row + at)
+            lists.append(near[row, place])
+        return np.concatenate(rows), np.concatenate(lists)
 
     def search(self, q: np.ndarray, ratio: float | None = None, need: int = (K + 1) * REPLICAS) -> list[int]:
         """Lists for a query: a best-first walk of the graph while centroids are within the ratio of the nearest."""
@@ -121,33 +133,84 @@ def _halved(x: np.ndarray, ids: np.ndarray, parts: int, rng) -> list[np.ndarray]
     return _halved(x, order[:half], parts // 2, rng) + _halved(x, order[half:], parts - parts // 2, rng)
 
 
+def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances of all rows of a to all rows of b."""
+    return np.maximum((a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1), 0)
+
+
+def _centres(z: np.ndarray, lists: int, rng) -> tuple[np.ndarray, np.ndarray]:
+    """Balanced centroids and the prices that keep their lists balanced."""
+    parts = [p for p in _halved(z, np.arange(len(z)), lists, rng) if len(p)]
+    c = np.array([z[p].mean(0) for p in parts])
+    price, even = np.zeros(len(c)), len(z) / len(c)
+    for _ in range(STEPS if len(c) > 1 else 0):
+        d = _squares(z, c)
+        mine = np.argmin(d + price, axis=1)
+        count = np.bincount(mine, minlength=len(c))
+        total = np.zeros_like(c)
+        np.add.at(total, mine, z)
+        c = np.where(count[:, None] > 0, total / np.maximum(count, 1)[:, None], c)
+        price = price + 0.05 * d[np.arange(len(z)), mine].mean() * np.clip(count / even - 1, -1, 1)
+    return c, price - price.min()
+
+
 def build(sample: np.ndarray, top: float, lists: int, k: int = K) -> Index:
-    index = Index(np.zeros((0, sample.shape[1] + 1)), np.zeros((0, 0), int), top)
+    index = Index(np.zeros((0, sample.shape[1] + 1)), np.zeros(0), np.zeros((0, 0), int), top)
     z = index.lift(sample)
     rng = np.random.default_rng(11)
-    parts = [p for p in _halved(z, np.arange(len(z)), max(1, min(lists, len(z))), rng) if len(p)]
-    c = index.centroids = np.array([z[p].mean(0) for p in parts])
-    d = ((c[:, None, :] - c[None]) ** 2).sum(2) if len(c) <= 256 else np.stack([((c - row) ** 2).sum(1) for row in c])
-    near = np.argsort(d, axis=1, kind="stable")[:, 1 : DEGREE + 1]
+    c, index.price = _centres(z, max(1, min(lists, len(z))), rng)
+    index.centroids = c
+    near = np.argsort(_squares(c, c), axis=1, kind="stable")[:, 1 : DEGREE + 1]
     ring = (np.arange(len(c))[:, None] + np.array([1, len(c) - 1])) % len(c)  # keeps the graph in one piece
     index.graph = np.concatenate((near, ring), 1)
-    # the least ratio that finds the sample's own neighbours
-    kept = list(index.lists_of(sample))
-    members = [[] for _ in c]
-    for i, ls in enumerate(kept):
-        for p in ls:
-            members[p].append(i)
-    index.sizes = np.array([len(m) for m in members])
-    picks = rng.permutation(len(sample))[:150]
-    truth = [set(np.argsort(-(sample @ sample[i]), kind="stable")[: k + 1].tolist()) for i in picks]
-    for ratio in RATIOS:
-        index.ratio = ratio
-        got = [len(t & {m for p in index.search(sample[i]) for m in members[p]}) / len(t) for i, t in zip(picks, truth)]
-        if np.mean(got) >= TARGET_RECALL:
-            break
+    # The least ratio at which the lists taken hold enough of the sample's own
+    # neighbours: a neighbour is found from the ratio of the nearest of its lists on.
+    row, kept = index.lists_of(sample)
+    index.sizes = np.bincount(kept, minlength=len(c))
+    holds = np.zeros((len(sample), len(c)), bool)
+    holds[row, kept] = True
+    needed = []
+    for i in rng.permutation(len(sample))[:CHECKED]:
+        score = sample @ sample[i]
+        score[i] = -np.inf
+        true = np.argsort(-score, kind="stable")[: min(k, len(sample) - 1)]
+        far = np.sqrt(((c - np.append(sample[i], 0.0)) ** 2).sum(1))
+        needed.append(np.where(holds[true], far / max(far.min(), 1e-300), np.inf).min(1))
+    needed = np.sort(np.concatenate(needed)) if needed else np.zeros(0)
+    if len(needed):
+        index.ratio = float(needed[min(len(needed) - 1, int(np.ceil(TARGET_RECALL * len(needed))))]) * (1 + 1e-9)
     return index
 
 
+def _vectors(column) -> np.ndarray:
+    """An Arrow column of equally long lists as rows of a matrix."""
+    if hasattr(column, "combine_chunks"):
+        column = column.combine_chunks()
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(column), -1)
+
+
+def best_of(q: np.ndarray, v: np.ndarray, ids: np.ndarray, least: np.ndarray, k: int, chunk: int = 256):
+    """Row of q, row of v, score: for each q its k best rows of v that reach ``least``; ties to the smaller id."""
+    rows, cols, scores = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    for at in range(0, len(q), chunk):
+        s = q[at : at + chunk] @ v.T
+        floor = least[at : at + chunk]
+        if len(v) > k and np.isinf(floor).any():
+            floor = np.maximum(floor, np.partition(s, -k, axis=1)[:, -k])
+        row, col = np.nonzero(s >= floor[:, None])
+        score = s[row, col]
+        if len(row) and np.bincount(row).max() > k:
+            order = np.lexsort((ids[col], -score, row))
+            row, col, score = row[order], col[order], score[order]
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            row, col, score = row[place < k], col[place < k], score[place < k]
+        rows.append(row + at)
+        cols.append(col)
+        scores.append(score)
+    return np.concatenate(rows), np.concatenate(cols), np.concatenate(scores)
+
+
 def fit(entries: DataFrame, sample: int = SAMPLE, list_rows: int = LIST_ROWS, k: int = K) -> Index | None:
     """An index fitted on at most about ``sample`` distinct vectors; None without any."""
     n, top = entries.agg(F.count("*"), F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))).first()
@@ -176,61 +239,65 @@ def nearest(rows: DataFrame, is_query, k: int = K) -> DataFrame:
 
         for b in batches:
             if b.num_rows:
-                x = np.array(b.column("vec").to_pylist())
-                kept = list(shared.value.lists_of(x))
-                at = np.repeat(np.arange(len(kept)), [len(p) for p in kept])
-                t = pa.Table.from_batches([b]).take(pa.array(at)).append_column("list", pa.array(np.concatenate(kept).astype(np.int32)))
+                row, kept = shared.value.lists_of(_vectors(b.column("vec")))
+                t = pa.Table.from_batches([b]).take(pa.array(row)).append_column("list", pa.array(kept.astype(np.int32)))
                 yield from t.combine_chunks().to_batches()
 
     shared = spark.sparkContext.broadcast(index)  # bounded by the sample
     postings = cut(entries.mapInArrow(place, "uid long, ids array<long>, vec array<double>, list int"))
     sizes = {r.list: r["count"] for r in postings.groupBy("list").count().collect()}  # a row per centroid
     index.sizes = np.array([sizes.get(i, 0) for i in range(len(index.centroids))])
-    blocks = {i: max(1, -(-n // BLOCK_ROWS)) for i, n in sizes.items()}
-    walker = spark.sparkContext.broadcast((index, blocks))
+    walker = spark.sparkContext.broadcast(index)
 
     def choose(batches):
         import pyarrow as pa
 
-        walk, parts = walker.value
         for b in batches:
-            if not b.num_rows:
-                continue
-            got = [[(c, s) for c in walk.search(np.array(v)) for s in range(parts.get(c, 0))] for v in b.column("qvec").to_pylist()]
-            t = pa.Table.from_batches([b]).take(pa.array(np.repeat(np.arange(len(got)), [len(g) for g in got])))
-            flat = [x for g in got for x in g]
-            t = t.append_column("list", pa.array([c for c, _ in flat], pa.int32())).append_column("block", pa.array([s for _, s in flat], pa.int32()))
-            yield from t.combine_chunks().to_batches()
+            if b.num_rows:
+                got = [walker.value.search(v, need=(k + 1) * REPLICAS) for v in _vectors(b.column("qvec"))]
+                yield pa.record_batch([b.column("quid"), b.column("qvec"), pa.array(got, pa.list_(pa.int32()))], ["quid", "qvec", "lists"])
 
     asked = good.where(is_query(F.col("vec_id"))).withColumnRenamed("vec_id", "query_id")
     asked = cut(asked.join(entries.select("vec", "uid"), "vec").select("query_id", F.col("uid").alias("quid"), "vec"))
-    queries = asked.select("quid", F.col("vec").alias("qvec")).distinct().mapInArrow(choose, "quid long, qvec array<double>, list int, block int")
+    queries = cut(asked.select("quid", F.col("vec").alias("qvec")).distinct().mapInArrow(choose, "quid long, qvec array<double>, lists array<int>"))
+    chunks = max(1, -(-queries.count() // QUERY_ROWS))
+    blocks = {i: -(-n // BLOCK_ROWS) for i, n in sizes.items()}
     n_blocks = F.element_at(F.create_map(*[F.lit(x) for p in blocks.items() for x in p]), F.col("list")) if max(blocks.values()) > 1 else F.lit(1)
     spread = postings.withColumn("block", F.pmod(F.xxhash64("uid"), n_blocks).cast("int"))
+    if chunks > 1:
+        spread = spread.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    else:
+        spread = spread.withColumn("chunk", F.lit(0))
 
     def match(key, left, right):
         import pyarrow as pa
 
-        q, v = np.array(left.column("qvec").to_pylist()), np.array(right.column("vec").to_pylist())
-        rows = []
-        if len(q) and len(v):
-            uid = right.column("uid").to_numpy()
-            quid = left.column("quid").to_numpy()
-            ids = right.column("ids").to_pylist()
-            order = np.argsort(uid, kind="stable")
-            for at in range(0, len(q), 256):
-                s = (q[at : at + 256] @ v.T)[:, order]
-                best = np.argsort(-s, axis=1, kind="stable")[:, : k + 1]  # ties: smaller id first
-                for i, line in enumerate(best):
-                    rows += [(quid[at + i], uid[order[j]], ids[order[j]], s[i, j]) for j in line]
-        cols = list(zip(*rows)) if rows else [[]] * 4
-        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.float64())
-        return pa.table([pa.array(c, t) for c, t in zip(cols, kinds)], ["quid", "uid", "ids", "score"])
-
-    found = queries.groupBy("list", "block").cogroup(spread.groupBy("list", "block")).applyInArrow(match, "quid long, uid long, ids array<long>, score double")
+        kinds = pa.schema([("quid", pa.int64()), ("uid", pa.int64()), ("ids", pa.list_(pa.int64())), ("score", pa.float64())])
+        if not (left.num_rows and right.num_rows):
+            return kinds.empty_table()
+        uid = right.column("uid").to_numpy()
+        least = left.column("least").to_numpy()
+        row, col, score = best_of(_vectors(left.column("qvec")), _vectors(right.column("vec")), uid, least, k + 1)
+        ids = right.column("ids").combine_chunks().take(pa.array(col))
+        return pa.table([left.column("quid").combine_chunks().take(pa.array(row)), pa.array(uid[col]), ids, pa.array(score)], schema=kinds)
+
+    def search(asks: DataFrame) -> DataFrame:
+        """What the lists of ``asks`` (quid, qvec, list, least) hand back."""
+        asks = asks.withColumn("block", F.explode(F.sequence(F.lit(0), n_blocks - 1))).withColumn("chunk", F.pmod(F.xxhash64("quid"), F.lit(chunks)).cast("int"))
+        keys = ["list", "block", "chunk"]
+        return asks.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInArrow(match, "quid long, uid long, ids array<long>, score double")
+
+    first = cut(search(queries.select("quid", "qvec", F.col("lists")[0].alias("list"), F.lit(float("-inf")).alias("least"))))
+    # an entry is once in a list, so these are scores of k + 1 different entries; the sums of a
+    # product may end differently in another block, so the bound is a little lower
+    ranked = F.sort_array(F.collect_list("score"), asc=False)
+    bound = first.groupBy("quid").agg(ranked.alias("s")).where(F.size("s") > k).select("quid", (F.col("s")[k] - F.abs(F.col("s")[k]) * 1e-9 - 1e-12).alias("least"))
+    others = queries.select("quid", "qvec", F.explode(F.slice("lists", 2, F.greatest(F.size("lists") - 1, F.lit(0)))).alias("list"))
+    others = others.join(bound, "quid", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
+    found = first.union(search(others))
     # a border vector is found in several lists
     one = found.groupBy("quid", "uid").agg(F.max("score").alias("score"), F.first("ids").alias("ids"))
     best = one.withColumn("n", F.row_number().over(Window.partitionBy("quid").orderBy(F.desc("score"), "uid"))).where(F.col("n") <= k + 1)
     pairs = asked.select("query_id", "quid").join(best, "quid").select("query_id", F.explode("ids").alias("vec_id"), "score").where("query_id <> vec_id")
-    ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranks = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+    return ranks.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -424,6 +424,40 @@ def test_neighbours_recall_ties_and_odd_rows(spark, n):
     assert neighbours.nearest(df.limit(0), lambda c: c % 20 == 0).count() == 0
 
 
+def test_best_of_a_block_bounds_ties_and_floors():
+    rng = np.random.default_rng(4)
+    v = rng.integers(-1, 2, (300, 4)).astype(float)  # many equal scores
+    q = np.concatenate((rng.integers(-1, 2, (40, 4)).astype(float), np.zeros((1, 4))))
+    ids = rng.permutation(300)
+    least = np.where(np.arange(41) % 3 == 0, 1.0, -np.inf)
+    row, col, score = neighbours.best_of(q, v, ids, least, 5, chunk=16)
+    for i in range(41):
+        s = q[i] @ v.T
+        want = [j for j in np.lexsort((ids, -s)) if s[j] >= least[i]][:5]
+        assert col[row == i].tolist() == want and np.allclose(score[row == i], s[want])
+    assert len(neighbours.best_of(q, v[:0], ids[:0], least, 5)[0]) == 0
+
+
+def test_neighbour_lists_are_balanced():
+    x = np.random.default_rng(5).standard_normal((4000, 16))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    index = neighbours.build(x, 1.0, 40)
+    first = np.argmin(neighbours._squares(index.lift(x), index.centroids) + index.price, axis=1)
+    assert np.bincount(first, minlength=40).max() <= 2.5 * 100
+    row, kept = index.lists_of(x)
+    assert set(row) == set(range(4000)) and np.bincount(row).max() <= neighbours.REPLICAS
+
+
+def test_neighbours_searched_by_chunks_and_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(900)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {tuple(r) for r in neighbours.nearest(df, lambda c: c % 20 == 0).select("query_id", "rank", "vec_id").collect()}
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 10)
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 64)
+    assert {tuple(r) for r in neighbours.nearest(df, lambda c: c % 20 == 0).select("query_id", "rank", "vec_id").collect()} == whole
+
+
 # 8: secrets ------------------------------------------------------------------
 
 
