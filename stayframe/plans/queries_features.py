@@ -72,6 +72,28 @@ FROM lagged""",
 )(_lag12)
 
 
+# LAG1 + LAG4, stays cut into time slices of four windows ---------------------
+def _lag_slices(spark, sf_dir):
+    g, x = _gold(spark, sf_dir, "events")
+    hours = 4 * x.cfg.window_hours
+    out = add_lags(g, x.cfg.lag_base_columns(), slice_hours=hours)
+    out = missing_trend(out, x.cfg.vital_missing_columns(), slice_hours=hours)
+    cols = [c for b in x.cfg.lag_base_columns() for c in (f"{b}_lag1", f"{b}_delta")]
+    return out.select(STAY, "window_end", *cols, "n_missing_vitals_lag1", "missing_trend")
+
+
+_slice_cols = [c for b in EVENTS_CFG.lag_base_columns() for c in (f"{b}_lag1", f"{b}_delta")]
+register(
+    "LAG1_LAG4_sliced_lags_events",
+    Q.with_mapping(
+        "events",
+        f"SELECT stay_id, window_end, {', '.join(_slice_cols)}, n_missing_vitals_lag1, missing_trend FROM lagged",
+        _lag_sql(EVENTS_CFG),
+    ),
+    _slice_cols + ["n_missing_vitals_lag1", "missing_trend"],
+)(_lag_slices)
+
+
 # LAG4 ------------------------------------------------------------------------
 def _lag4(spark, sf_dir):
     g, x = _gold(spark, sf_dir, "events")

@@ -58,6 +58,7 @@ from stayframe.sources.events import EVENT_SCHEMA, parse_events, to_event_json
 from stayframe.sources.sinks import verify_written, write_report_csv, write_table
 from stayframe.sources.tables import land_measurements, read_csv, read_table
 from stayframe.streaming.bronze import event_schema, ingest
+from stayframe.streaming.silver import start_silver
 
 
 def sround(expr: str, digits: int) -> str:
@@ -470,6 +471,24 @@ def _medallion(spark, sf_dir):
 register("MEDALLION_bronze_silver_gold_events", REGISTRY["GOLD_events"].sql, gold_doubles(EVENTS_CFG))(_medallion)
 
 
+def _kept_up(spark, sf_dir):
+    """Silver kept up by batches: messages land in two waves, the second of
+    which holds rows that come late; each wave is ingested to Bronze and folded
+    into Silver by a stream that starts again."""
+    x = inputs(spark, sf_dir, "events")
+    root = scratch_path(spark, "silver-run")
+    messages = to_event_json(x.vitals, "vital").select("value")
+    for wave in range(2):
+        messages.where(F.pmod(F.xxhash64("value"), F.lit(2)) == wave).write.mode("append").text(f"{root}/landing")
+        ingest(spark, f"{root}/landing", f"{root}/bronze", f"{root}/bronze-checkpoint", schema=event_schema(StringType())).awaitTermination()
+        start_silver(spark, f"{root}/bronze", x.stays, x.cfg, f"{root}/kept", f"{root}/silver-checkpoint").awaitTermination()
+    silver = spark.read.parquet(f"{root}/kept/silver")
+    return _taken(spark, silver.select(STAY, "window_id", "window_end", *x.cfg.vital_columns(), "window_date"), root)
+
+
+register("AGG1_SRC4_incremental_silver_events", REGISTRY["AGG1_silver_events"].sql, silver_doubles(EVENTS_CFG), ["window_date"])(_kept_up)
+
+
 def _predictions(spark, sf_dir):
     """The predictions job: stored Gold, score, alert and stamp, checks, sink, read back."""
     x = inputs(spark, sf_dir, "lineitem")

@@ -27,3 +27,34 @@ def test_long_stay_grid_is_exact_and_spread(spark):
     assert rows == {1: (14600, 0, 14599, 14600), 2: (1, 0, 0, 1), 3: (2, 0, 1, 2)}
     tasks = g.where("stay_id = 1").select(F.spark_partition_id().alias("p")).distinct().count()
     assert tasks >= 2
+
+
+def test_lags_of_a_hot_stay_are_spread_and_equal_the_plain_window(spark):
+    from stayframe.operators.temporal import add_lags, missing_trend
+
+    # no two rows of a stay share an order; one row has none
+    rows = spark.range(9000).select(
+        F.when(F.col("id") < 3000, 0).otherwise(1 + F.col("id") % 700).cast("long").alias("stay_id"),
+        F.when(F.col("id") != 5001, (F.col("id") * 7 % 9001).cast("double") * 4.0).alias("icu_hours_elapsed"),
+        F.when(F.col("id") % 5 != 0, F.col("id") * 1.5).alias("a"),
+        (F.col("id") % 3 == 0).cast("int").alias("a_missing"),
+        F.col("id").alias("extra"),
+    )
+
+    def features(hours):
+        out = add_lags(rows, ["a"], window_hours=4.0, slice_hours=hours)
+        return missing_trend(out, ["a_missing"], slice_hours=hours)
+
+    plain, sliced = features(None), features(400.0)
+    assert sliced.columns == plain.columns
+    assert sorted(map(str, sliced.collect())) == sorted(map(str, plain.collect()))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        def tasks(hours):
+            hot = features(hours).where("stay_id = 0")
+            return hot.groupBy(F.spark_partition_id().alias("p")).agg(F.count("a_lag1").alias("n"), F.count("missing_trend").alias("m")).where("n + m > 0").count()
+
+        whole, spread = tasks(None), tasks(400.0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert whole == 1 and spread >= 4
