@@ -24,7 +24,7 @@ from stayframe.config import (
 )
 from stayframe.functions import flag
 from stayframe.operators.filters import drop_before_start, keep_items, keep_measured
-from stayframe.operators.joins import attach_admission_stays, attach_stays
+from stayframe.operators.joins import attach_admission_stays, attach_admission_stays_within, attach_stays
 from stayframe.operators.windows import assign_window, window_bounds
 
 
@@ -65,7 +65,8 @@ def windowed_labs(labs: DataFrame, stays: DataFrame, cfg: WindowConfig) -> DataF
         j = attach_stays(ev, stays, cols=_stay_columns(stays, INTIME))
     else:
         ev = _prepared(labs.select(ADMISSION, TIME, ITEM, VALUE), cfg.lab_items)
-        j = attach_admission_stays(ev, stays, cols=_stay_columns(stays, STAY, INTIME))
+        cols = _stay_columns(stays, STAY, INTIME)
+        j = attach_admission_stays_within(ev, stays, cfg, cols, BOUND) if BOUND in cols else attach_admission_stays(ev, stays, cols=cols)
     j = drop_before_start(j)
     return _within_grid(assign_window(j, cfg))
 

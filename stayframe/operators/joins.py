@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayframe.config import ADMISSION, INTIME, LABEL, STAY, SUBJECT, WINDOW
+from stayframe.config import ADMISSION, INTIME, LABEL, STAY, SUBJECT, TIME, WINDOW, WindowConfig
+from stayframe.functions import elapsed_micros
 
 
 def attach_stays(events: DataFrame, stays: DataFrame, on: str = STAY, cols: Sequence[str] = (INTIME,)) -> DataFrame:
@@ -28,6 +29,31 @@ def attach_admission_stays(labs: DataFrame, stays: DataFrame, cols: Sequence[str
     return labs.join(stays.select(ADMISSION, *cols), ADMISSION, "inner")
 
 
+def attach_admission_stays_within(
+    labs: DataFrame, stays: DataFrame, cfg: WindowConfig, cols: Sequence[str] = (STAY, INTIME), bound: str = "n_windows", span: int = 64
+) -> DataFrame:
+    """JON2 as an interval join: every pair of a measurement and a stay of its
+    admission with ``start <= time < start + bound * W``.
+
+    Time is cut into blocks of ``span`` windows; a stay stands once in each
+    block it touches and a measurement in one, so the join's key is
+    (admission, block).  A hot admission is split by time, and a measurement
+    outside all stays meets at most those that share its block.  Rows with a
+    NULL admission, time, start or bound join nothing."""
+    block = F.lit(cfg.window_micros * int(span))
+    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01'")
+    since = lambda c: elapsed_micros(epoch, c)
+    length = F.col(bound).cast("long") * F.lit(cfg.window_micros)
+    last = F.floor((since(F.col(INTIME)) + length - 1) / block)
+    held = stays.where(F.col(bound) > 0).select(
+        ADMISSION, *cols, since(F.col(INTIME)).alias("_from"), length.alias("_length"),
+        F.explode(F.sequence(F.floor(since(F.col(INTIME)) / block), last)).alias("_block"),
+    )
+    timed = labs.withColumn("_block", F.floor(since(F.col(TIME)) / block))
+    after = since(F.col(TIME)) - F.col("_from")
+    return timed.join(held, [ADMISSION, "_block"], "inner").where((after >= 0) & (after < F.col("_length"))).drop("_block", "_from", "_length")
+
+
 def fill_grid(grid: DataFrame, wide: DataFrame, keys: Sequence[str] = (STAY, WINDOW)) -> DataFrame:
     """JON3: dense grid left-joined with window aggregates (empty windows kept)."""
     return grid.join(wide, list(keys), "left")

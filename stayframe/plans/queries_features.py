@@ -14,6 +14,7 @@ from stayframe.operators.contracts import assert_contract, bound_violations, fil
 from stayframe.operators.filters import clean_ranges, range_drop_report, restrict_to
 from stayframe.operators.joins import (
     attach_admission_stays,
+    attach_admission_stays_within,
     attach_labs,
     attach_stays,
     join_blocks,
@@ -21,7 +22,7 @@ from stayframe.operators.joins import (
 )
 from stayframe.operators.ordering import global_prefix, global_rank, sort_rows, top_k, first_n, union_parts
 from stayframe.operators.temporal import add_lags, assemble_v3, lags_from_previous, missing_trend, previous_window_map
-from stayframe.operators.windows import calendar_parts, parse_times, replay_schedule, temporal_attributes
+from stayframe.operators.windows import calendar_parts, parse_times, replay_schedule, temporal_attributes, window_count
 from stayframe.plans import oracle as Q
 from stayframe.plans.catalog import gold_doubles, inputs, register
 from stayframe.plans.mappings import EVENTS_CFG, LINEITEM_CFG, table
@@ -469,6 +470,25 @@ register(
 )(_jon2)
 
 
+def _jon2_within(spark, sf_dir):
+    x = inputs(spark, sf_dir, "lineitem")
+    stays = x.stays.withColumn("n_windows", window_count(x.cfg))
+    return attach_admission_stays_within(x.labs, stays, x.cfg, span=2)
+
+
+register(
+    "JON2_interval_join_lineitem",
+    Q.with_mapping(
+        "lineitem",
+        f"""SELECT l.hadm_id, l.charttime, l.itemid, l.valuenum, s.stay_id, s.intime FROM labs l JOIN stays s ON l.hadm_id = s.hadm_id
+WHERE l.charttime >= s.intime AND epoch_us(l.charttime) - epoch_us(s.intime)
+      < greatest(1, (epoch_us(s.outtime) - epoch_us(s.intime)) // {LINEITEM_CFG.window_micros}) * {LINEITEM_CFG.window_micros}""",
+        pipeline=False,
+    ),
+    ["valuenum"],
+)(_jon2_within)
+
+
 def _jon4(spark, sf_dir):
     x = inputs(spark, sf_dir, "lineitem")
     v = vitals_by_window(x.vitals, x.stays, x.cfg).select(STAY, WINDOW, *[f"vital_{i}_mean" for i in x.cfg.vital_items])
