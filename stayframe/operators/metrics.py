@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from stayframe.config import LABEL
 from stayframe.functions import safe_div
-from stayframe.operators.ordering import global_prefix, global_previous, union_parts
+from stayframe.operators.ordering import global_prefix, union_parts
 
 
 def score_histogram(
@@ -58,9 +58,9 @@ def cumulative_counts(
     return cumulative_of_counts(score_histogram(df, score, label, by, alert), score, by, extra)
 
 
-def cumulative_of_counts(h: DataFrame, score: str = "score", by: Sequence[str] = (), extra: Sequence[str] = ()) -> DataFrame:
-    """``cumulative_counts`` from counts ``pos``, ``neg`` per distinct score."""
-    c = global_prefix(h, [F.col(score).desc()], ["pos", "neg"], by, totals=True)
+def cumulative_of_counts(h: DataFrame, score: str = "score", by: Sequence[str] = (), extra: Sequence[str] = (), following: Sequence[str] = ()) -> DataFrame:
+    """``cumulative_counts`` from counts ``pos``, ``neg`` per distinct score; ``following`` adds the next lower score's as ``_next_{c}``."""
+    c = global_prefix(h, [F.col(score).desc()], ["pos", "neg"], by, totals=True, following=following)
     return c.select(
         *by,
         score,
@@ -71,6 +71,7 @@ def cumulative_of_counts(h: DataFrame, score: str = "score", by: Sequence[str] =
         F.col("neg_cum").alias("fp"),
         F.col("pos_total").alias("P"),
         F.col("neg_total").alias("N"),
+        *[f"_next_{c}" for c in following],
     )
 
 
@@ -158,11 +159,10 @@ def roc_curve(df: DataFrame, score: str = "score", label: str = LABEL, by: Seque
     neighbours with equal steps, as a curve drawn by the reference does: a
     point whose next step adds the same numbers of positives and negatives as
     its own.  The first and the last score always stay."""
-    c = cumulative_counts(df, score, label, by)
+    c = cumulative_of_counts(score_histogram(df, score, label, by), score, by, following=["pos", "neg"] if thin else [])
     if thin:
-        after = global_previous(c, [F.col(score).asc()], ["pos", "neg"], by, prefix="_next_")
         first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
-        c = after.where(first | F.col("_next_pos").isNull() | (F.col("_next_pos") != F.col("pos")) | (F.col("_next_neg") != F.col("neg")))
+        c = c.where(first | F.col("_next_pos").isNull() | (F.col("_next_pos") != F.col("pos")) | (F.col("_next_neg") != F.col("neg")))
     pts = c.select(
         *by,
         F.col(score).cast("double").alias("threshold"),

@@ -37,11 +37,14 @@ def rate_by(df: DataFrame, col: str, label: str = LABEL) -> DataFrame:
     )
 
 
+def _value_counts(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    v = df.select(*by, nan_to_null(F.col(value).cast("double")).alias(value)).where(F.col(value).isNotNull())
+    return v.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_k"))
+
+
 def _ranked_counts(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """One row per group and distinct value with its rows ``_k``, the rows up to it ``_k_cum`` and the group's ``_k_total``."""
-    v = df.select(*by, nan_to_null(F.col(value).cast("double")).alias(value)).where(F.col(value).isNotNull())
-    counts = v.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_k"))
-    return global_prefix(counts, [F.col(value).asc()], ["_k"], by, totals=True)
+    return global_prefix(_value_counts(df, value, by), [F.col(value).asc()], ["_k"], by, totals=True)
 
 
 def _quantiles_of(ranked: DataFrame, value: str, probs: Sequence[float], by: Sequence[str], names: Sequence[str]) -> DataFrame:
@@ -87,16 +90,16 @@ def describe_by(df: DataFrame, value: str, group: str, digits: int = 1) -> DataF
     """AGG9: count, mean, std, min, 25/50/75 %, max of ``value`` per group,
     rounded like a printed summary.  ``df`` is evaluated once: everything comes
     from its counts per distinct value."""
-    ranked = _ranked_counts(df, value, [group])
+    counts, ranked = _value_counts(df, value, [group]), _ranked_counts(df, value, [group])
     k, x = F.col("_k").cast("double"), F.col(value)
-    base = ranked.groupBy(group).agg(
+    base = counts.groupBy(group).agg(
         F.sum("_k").alias("count"),
         (F.sum(k * x) / F.sum(k)).alias("mean"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     )
     off = F.col(value) - F.col("mean")
-    spread = ranked.join(base.select(group, "mean"), group).groupBy(group).agg(F.sum(k * off * off).alias("_ss"))
+    spread = counts.join(base.select(group, "mean"), group).groupBy(group).agg(F.sum(k * off * off).alias("_ss"))
     q = _quantiles_of(ranked, value, [0.25, 0.5, 0.75], [group], ["p25", "p50", "p75"])
     j = base.join(spread, group).join(q, group).withColumn("std", F.when(F.col("count") > 1, F.sqrt(F.col("_ss") / (F.col("count") - 1))))
     r = lambda c: F.round(F.col(c), digits).alias(c)

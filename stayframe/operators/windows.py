@@ -113,7 +113,6 @@ def replay_schedule(
     ).drop("_tmin")
     if with_delay:
         order = [F.col(ts).asc()] + [F.col(c).asc() for c in tiebreak]
-        # Callers pass only the columns they need: these rows are checkpointed.
         out = global_previous(out, order, [ts], prefix="_prev_")
         out = out.withColumn(
             "delay_seconds",
