@@ -218,7 +218,8 @@ def read_token_files(spark: SparkSession, folder: str, with_ids: bool = False) -
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{folder}/files").select("content")
     schema = "doc_id long, block long, at long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
     rows = files.mapInArrow(partial(_rows, id_of=spark.sparkContext.broadcast(id_of), with_ids=with_ids), schema)
-    before = global_prefix(files.mapInArrow(_heads, "block long, total long"), ["block"], ["total"])
+    # One small row a block, stored: the prefix sum reads it three times.
+    before = global_prefix(cut(files.mapInArrow(_heads, "block long, total long")), ["block"], ["total"])
     before = before.select("block", (F.col("total_cum") - F.col("total")).alias("before"))
     return rows.join(before, "block").select("doc_id", (F.col("before") + F.col("at")).alias("start"), *[c for c in rows.columns if c not in ("doc_id", "block", "at")])
 
