@@ -9,6 +9,13 @@ become ``guess`` findings where no rule already has the place. A bare word of
 letters, all small or with a capital first, after 'is' or 'with' may be prose
 and must cost ``PROSE_BITS``; any other value ``MIN_BITS``.
 
+The word ranks are a fixed list and the documents' own words: runs of 3 to 24
+letters a-z in the lower-cased texts are counted over all documents, and the
+``VOCABULARY`` most frequent (ties by word) rank by their counts. Runs inside
+the value after a credential word don't count, so a secret that is copied many
+times does not become a common word; neither do words met fewer than
+``LEAST`` times. The ranks are broadcast: at most 20,000 words of 24 letters.
+
 Null text: empty, no findings. Every row gives a row; repeated rows and ids
 give equal rows. Texts of any length are scanned whole. Extra columns are
 ignored.
@@ -19,11 +26,14 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from functools import partial
+from operator import itemgetter
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from stayframe.llm.common import id_and_text
+from stayframe.llm.common import id_and_text, text_batches
 
 RULES = {
     "assign": re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A),
@@ -37,6 +47,8 @@ CONTEXT = re.compile(
     re.I | re.A,
 )
 MIN_BITS, PROSE_BITS = 40.0, 60.0
+VOCABULARY, LEAST = 20_000, 5
+WORD = re.compile(r"(?<![a-z])[a-z]{3,24}(?![a-z])")
 PROSE = re.compile(r"\b(?:is|with)\x20{0,3}$", re.I | re.A)
 # Common password words, most used first.
 COMMON = (
@@ -55,7 +67,32 @@ LEET = str.maketrans("@$013457", "asoieast")
 DATE = re.compile(r"(?:19|20)\d\d[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d\d|(?:19|20)\d\d")
 
 
-def guess_bits(value: str) -> float:
+def count_words(text: str, counts: Counter) -> None:
+    """Add the words of a text; those inside the values of a credential context are left out."""
+    counts.update(map(itemgetter(0), WORD.finditer(text.lower())))
+    for m in CONTEXT.finditer(text):
+        counts.subtract(map(itemgetter(0), WORD.finditer(m[1].lower())))
+
+
+def _counted(batches):
+    import pyarrow as pa
+
+    for _, texts in text_batches(batches):
+        counts: Counter = Counter()
+        for t in texts:
+            count_words(t.decode("utf-8"), counts)
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+
+
+def learned_ranks(docs: DataFrame, most: int = VOCABULARY) -> dict[str, int]:
+    """Ranks of the documents' words joined with the fixed ones (the lesser of both); ``most`` words are learned at most."""
+    counts = id_and_text(docs).mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    top = counts.where(F.col("n") >= LEAST).orderBy(F.col("n").desc(), "word").limit(int(most)).collect() if most else []
+    ranks = {r.word: i + 1 for i, r in enumerate(top)}
+    return ranks | {w: min(i, ranks.get(w, i)) for w, i in RANK.items()}
+
+
+def guess_bits(value: str, ranks: dict[str, int] = RANK, longest: int = LONGEST) -> float:
     """log2 of the guesses of the cheapest segmentation; linear in the length, as segments that branch are short."""
     n, low = len(value), value.lower()
     plain = low.translate(LEET)
@@ -70,8 +107,8 @@ def guess_bits(value: str) -> float:
         here = best[i]
         # brute force, one character more
         best[i + 1] = min(best[i + 1], here + char)
-        for j in range(i + 3, min(n, i + LONGEST) + 1):
-            rank = RANK.get(plain[i:j])
+        for j in range(i + 3, min(n, i + longest) + 1):
+            rank = ranks.get(plain[i:j])
             if rank:
                 seg = value[i:j]
                 extra = 0.0 if seg == low[i:j] else 1.0 if seg == seg.title() or seg.isupper() else float(j - i)
@@ -87,7 +124,7 @@ def guess_bits(value: str) -> float:
     return best[n]
 
 
-def find_secrets(text: str, min_bits: float = MIN_BITS) -> list[tuple[str, int, int, float]]:
+def find_secrets(text: str, min_bits: float = MIN_BITS, ranks: dict[str, int] = RANK, longest: int = LONGEST) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, log2 guesses or 0) ordered by start, then kind."""
     found = [("assign", *m.span(), 0.0) for m in RULES["assign"].finditer(text) if len(m[1]) >= 6]
     for kind in ("access", "hex"):
@@ -107,20 +144,25 @@ def find_secrets(text: str, min_bits: float = MIN_BITS) -> list[tuple[str, int,
             continue
         value = m[1].rstrip(".)]}!?:")
         prose = value.isalpha() and value[1:].islower() and PROSE.search(text, m.start(), s)
-        if len(value) >= 8 and (bits := guess_bits(value)) >= (max(min_bits, PROSE_BITS) if prose else min_bits):
+        if len(value) >= 8 and (bits := guess_bits(value, ranks, longest)) >= (max(min_bits, PROSE_BITS) if prose else min_bits):
             found.append(("guess", s, s + len(value), bits))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
-def scan_secrets(docs: DataFrame, min_bits: float = MIN_BITS) -> DataFrame:
-    """doc_id, findings array<struct<kind, start, end, bits>> in code points, end exclusive."""
+def scan_secrets(docs: DataFrame, min_bits: float = MIN_BITS, learn: int = VOCABULARY) -> DataFrame:
+    """doc_id, findings array<struct<kind, start, end, bits>> in code points, end exclusive.
+
+    ``learn`` words of the documents are learned at most (0: the fixed list alone)."""
+    ranks = docs.sparkSession.sparkContext.broadcast(learned_ranks(docs, learn))
 
     def scan(batches):
         import pyarrow as pa
 
         item = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("bits", pa.float64())]))
+        known = ranks.value
+        longest = max(map(len, known))
         for b in batches:
-            rows = [[dict(zip(("kind", "start", "end", "bits"), f)) for f in find_secrets(t or "", min_bits)] for t in b.column(1).to_pylist()]
+            rows = [[dict(zip(("kind", "start", "end", "bits"), f)) for f in find_secrets(t or "", min_bits, known, longest)] for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, item)], ["doc_id", "findings"])
 
     return id_and_text(docs).mapInArrow(scan, "doc_id long, findings array<struct<kind string, start long, end long, bits double>>")
@@ -132,8 +174,6 @@ def _is(kind, x):
 
 def secret_digests(found: DataFrame) -> DataFrame:
     """Contract columns of ``op8_secrets``."""
-    from pyspark.sql import functions as F
-
     line = lambda f: F.concat_ws(":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))
     base = F.filter("findings", lambda f: f["kind"] != "guess")
     return found.select(
