@@ -11,7 +11,8 @@ and must cost ``PROSE_BITS``; any other value ``MIN_BITS``.
 
 The word ranks are a fixed list and the documents' own words: runs of 3 to 24
 letters a-z in the lower-cased texts are counted over all documents, and the
-``VOCABULARY`` most frequent (ties by word) rank by their counts. Runs inside
+most frequent rank by their counts (ties by word): as many steps of counts
+(``_step``, whole ones) as hold ``VOCABULARY`` words at most. Runs inside
 the value after a credential word don't count, so a secret that is copied many
 times does not become a common word; neither do words met fewer than
 ``LEAST`` times. The ranks are broadcast: at most 20,000 words of 24 letters.
@@ -30,7 +31,7 @@ from collections import Counter
 from functools import partial
 from operator import itemgetter
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayframe.llm.common import id_and_text, text_batches
@@ -84,11 +85,21 @@ def _counted(batches):
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
 
+def _step(n: Column) -> Column:
+    """A count rounded down to its seven leading bits, as an ascending number (under 10,000)."""
+    size = F.length(F.bin(n))
+    return size * 128 + F.call_function("shiftright", n, F.greatest(size - 7, F.lit(0))).cast("int")
+
+
 def learned_ranks(docs: DataFrame, most: int = VOCABULARY) -> dict[str, int]:
-    """Ranks of the documents' words joined with the fixed ones (the lesser of both); ``most`` words are learned at most."""
+    """Ranks of the documents' words joined with the fixed ones (the lesser of both); ``most`` words are learned at most.
+
+    The words of each step of counts are counted first, so that only those kept reach the driver."""
     counts = id_and_text(docs).mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.where(F.col("n") >= LEAST).orderBy(F.col("n").desc(), "word").limit(int(most)).collect() if most else []
-    ranks = {r.word: i + 1 for i, r in enumerate(top)}
+    counts = counts.where(F.col("n") >= LEAST).withColumn("step", _step(F.col("n")))
+    upto = counts.groupBy("step").count().withColumn("upto", F.sum("count").over(Window.orderBy(F.col("step").desc())))  # a row a step
+    kept = counts.join(F.broadcast(upto.where(F.col("upto") <= int(most)).select("step")), "step").select("word", "n").collect() if most else []
+    ranks = {r.word: i + 1 for i, r in enumerate(sorted(kept, key=lambda r: (-r.n, r.word)))}
     return ranks | {w: min(i, ranks.get(w, i)) for w, i in RANK.items()}
 
 

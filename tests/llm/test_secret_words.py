@@ -29,8 +29,10 @@ def _plain(texts, most):
         for m in list(secrets.CONTEXT.finditer(t))[::-1]:
             t = t[: m.start(1)] + " " + t[m.end(1) :]
         counts.update(w for w in re.findall("[a-z]+", t.lower()) if 3 <= len(w) <= 24)
-    top = sorted((w for w in counts if counts[w] >= secrets.LEAST), key=lambda w: (-counts[w], w))[:most]
-    ranks = {w: i + 1 for i, w in enumerate(top)}
+    known = {w: n for w, n in counts.items() if n >= secrets.LEAST}
+    step = lambda w: known[w] >> max(known[w].bit_length() - 7, 0) << max(known[w].bit_length() - 7, 0)
+    top = [w for w in known if sum(step(v) >= step(w) for v in known) <= most]
+    ranks = {w: i + 1 for i, w in enumerate(sorted(top, key=lambda w: (-known[w], w)))}
     return ranks | {w: min(i, ranks.get(w, i)) for w, i in secrets.RANK.items()}
 
 
