@@ -88,3 +88,37 @@ def test_one_class_validation_keeps_all_rounds(spark, noisy):
     data = noisy.where("split <> 'val' OR sepsis_label = 1")
     model, history = train_with_history(data, ["a", "b"], TreeSettings(max_iter=14, max_depth=2, patience=3))
     assert model.stages[-1].getNumTrees == 14 and all(r.auroc is None for r in history)
+
+
+def test_no_round_is_fitted_again_for_the_kept_model(spark, noisy, tmp_path):
+    from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = VectorAssembler(inputCols=["b", "c"], outputCol="features").transform(noisy.withColumn("sepsis_label", F.col("sepsis_label").cast("double"))).select("features", "sepsis_label", "split").checkpoint()
+    train_rows, val = rows.where("split = 'train'"), rows.where("split = 'val'")
+    fitted = []
+
+    class Counted(GBTClassifier):
+        def fit(self, *args):
+            fitted.append(self.getMaxIter())
+            return super().fit(*args)
+
+    learner = Counted(labelCol="sepsis_label", maxIter=60, maxDepth=2, stepSize=0.3, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42)
+    model, history = boosting.fit_with_patience(learner, train_rows, val, "sepsis_label", "auroc", 8)
+    best = model.getNumTrees
+    assert len(history) == fitted[-1] > best and best not in fitted  # each fit goes beyond the one before
+    assert fitted == sorted(set(fitted))
+    again = GBTClassifier(labelCol="sepsis_label", maxIter=best, maxDepth=2, stepSize=0.3, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42).fit(train_rows)
+    shape = lambda m: m.toDebugString.split("\n", 1)[1]
+    assert shape(model) == shape(again) and model.treeWeights == again.treeWeights
+    model.write().save(str(tmp_path / "model"))
+    loaded = GBTClassificationModel.load(str(tmp_path / "model"))
+    p = [m.transform(val).select(vector_to_array("probability")[1]).collect() for m in (model, again, loaded)]
+    assert p[0] == p[1] == p[2]
+    assert dict(zip(range(2), again.featureImportances.toArray())) == dict(zip(range(2), model.featureImportances.toArray()))
+
+
+def test_the_size_of_the_next_fit():
+    assert boosting.next_rounds(60, 19, 50) == 69  # the rest of the patience
+    assert boosting.next_rounds(60, 55, 50) == 120  # still rising
+    assert boosting.next_rounds(10, 10, 50) == 60
