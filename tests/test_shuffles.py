@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stayframe import session
-from stayframe.operators.aggregates import BOUND, lab_windows
+from stayframe.operators.aggregates import BOUND, lab_windows, silver_windows, stays_within_vitals
 from stayframe.operators.windows import window_count
 from stayframe.plans import mappings
 from stayframe.plans.medallion import batch_matrix, gold_table
@@ -63,3 +63,24 @@ def test_shuffle_width_follows_the_tables_read(spark, monkeypatch):
     assert session.shuffle_width(spark) > one
     session.tune(spark)
     assert session.shuffle_width(spark) == narrow and spark.conf.get(session.ADVISORY, None) == given
+
+
+def test_labs_fan_out_no_further_than_silver_on_large_tables(spark, x, monkeypatch):
+    args = (x.vitals, x.labs, x.stays, x.labels, x.cfg)
+    whole = gold_table(*args)
+    monkeypatch.setattr(session, "FAN_OUT_BYTES", 0)
+    bounded = gold_table(*args)
+    assert "_block" in plan(bounded) and "_block" not in plan(whole)
+    assert bounded.exceptAll(whole).isEmpty() and whole.exceptAll(bounded).isEmpty()
+    reach = stays_within_vitals(x.stays, x.vitals, x.cfg)
+    silver = silver_windows(x.vitals, x.stays, x.cfg).groupBy("stay_id").agg((F.max("window_id") + 1).alias("n"))
+    assert reach.where("n_windows > 0").join(silver, "stay_id", "full").where("NOT n_windows <=> n").isEmpty()
+    assert lab_windows(x.labs, reach, x.cfg).count() < lab_windows(x.labs, x.stays, x.cfg).count()
+
+
+def test_stays_without_vitals_or_times_are_bounded_away(spark, x):
+    stays = spark.sql("SELECT * FROM VALUES (1L, TIMESTAMP_NTZ'2020-01-01'), (2L, TIMESTAMP_NTZ'2020-01-01'), (3L, NULL) t(stay_id, intime)")
+    item = x.cfg.vital_items[0]
+    vitals = spark.sql(f"SELECT * FROM VALUES (1L, TIMESTAMP_NTZ'2020-01-02', '{item}', 1D), (1L, TIMESTAMP_NTZ'2021-01-02', '{item}', NULL), (1L, NULL, '{item}', 1D), (3L, TIMESTAMP_NTZ'2020-01-02', '{item}', 1D) t(stay_id, charttime, itemid, valuenum)")
+    got = {r.stay_id: r.n_windows for r in stays_within_vitals(stays, vitals, x.cfg).collect()}
+    assert got == {1: 1, 3: None}
