@@ -57,6 +57,33 @@ def test_encoder_gives_the_tokenizer_s_ids_with_little_memory():
         assert [ids[a:b].tolist() for a, b in zip(first, first[1:])] == [plain.encode(t, add_special_tokens=False).ids for t in part]
 
 
+def test_signs_at_a_word_s_end_are_split_off_without_change():
+    rng = random.Random(7)
+    heads = ["word", "Word", "don't", "été", "ÉTÉ", "e\u0301", "x\u0338", "×", "3", "12", "a<", "<|endoftext|>", "<|endoftext|", "日本", "'s", "ß", "İ", "\u0301", "a'", "(b", "\xa0", "Ã", "\u00c3\u0097", "ς"]
+    tails = ["", ".", "...", "$$$", ",###", "*" * 15, "*" * 16, "*" * 17, "*" * 40, ".'s", "|", "|>", "!\u0338", "=\u0338", ".)", ".é"]
+    texts = [" ".join(rng.choice(heads) + rng.choice(tails) for _ in range(60)) for _ in range(60)] + [h + t for h in heads for t in tails]
+    plain, small = Tokenizer.from_file(PATH), Encoder(PATH, keep=100)
+    for at in range(0, len(texts), 30):
+        part = texts[at : at + 30]
+        ids, first = small([t.encode() for t in part])
+        assert [ids[a:b].tolist() for a, b in zip(first, first[1:])] == [plain.encode(t, add_special_tokens=False).ids for t in part]
+    small([f"new{k}$$$ new{k}," .encode() for k in range(5)])
+    assert all(f"new{k}$$$".encode() not in small.place and f"new{k}".encode() in small.place for k in range(5))
+
+
+def test_a_full_memory_of_words_keeps_those_met_often():
+    small, plain = Encoder(PATH, keep=200), Tokenizer.from_file(PATH)
+    learnt = []
+    run = small._learn
+    small._learn = lambda new: (learnt.extend(new), run(new))
+    for k in range(60):
+        text = "common words stand in each text " + " ".join(f"rare{k}x{j}" for j in range(20))
+        ids, _ = small([text.encode()])
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert len(small.place) <= 200 and len(small.seen) == len(small.at) == len(small.count)
+    assert learnt.count(b"common") == 1 and len(learnt) == 60 * 20 + 6
+
+
 def test_files_round_trip_in_order(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(tokenfiles, "SMALL_PART", 4_000)
     rng = random.Random(6)
