@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import re
 
 import pytest
@@ -84,3 +85,24 @@ def test_stays_without_vitals_or_times_are_bounded_away(spark, x):
     vitals = spark.sql(f"SELECT * FROM VALUES (1L, TIMESTAMP_NTZ'2020-01-02', '{item}', 1D), (1L, TIMESTAMP_NTZ'2021-01-02', '{item}', NULL), (1L, NULL, '{item}', 1D), (3L, TIMESTAMP_NTZ'2020-01-02', '{item}', 1D) t(stay_id, charttime, itemid, valuenum)")
     got = {r.stay_id: r.n_windows for r in stays_within_vitals(stays, vitals, x.cfg).collect()}
     assert got == {1: 1, 3: None}
+
+
+@pytest.mark.parametrize("seconds, orders", [(90 * 86400, 2000), (10 * 86400, 2000), (10_000, 100)])
+def test_a_dense_grid_on_large_tables_stays_where_it_was_dealt_out(spark, x, monkeypatch, seconds, orders):
+    """Windows across two time blocks of the labs' join (10 days) and stays of two grid blocks (10,000 s) included."""
+    cfg = dataclasses.replace(x.cfg, window_seconds=seconds)
+    args = (x.vitals, x.labs, x.stays.where(F.col("stay_id") <= orders), x.labels, cfg)
+    whole = batch_matrix(*args)
+    moved = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan(whole))
+    assert any("window_id" in h for h in moved)
+    given = spark.conf.get(session.CO_PARTITION)
+    monkeypatch.setattr(session, "GRID_BYTES", -1)
+    dealt = batch_matrix(*args)
+    moved = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan(dealt))
+    assert not any("window_id" in h for h in moved) and len([h for h in moved if "_blk" in h]) == 3
+    assert dealt.schema == whole.schema
+    dealt, whole = dealt.localCheckpoint(), whole.localCheckpoint()
+    assert dealt.count() == whole.count() > 0
+    assert dealt.exceptAll(whole).isEmpty() and whole.exceptAll(dealt).isEmpty()
+    session.tune(spark)
+    assert spark.conf.get(session.CO_PARTITION) == given
