@@ -305,6 +305,15 @@ def test_whole_seeds_find_all_that_the_overlay_accepts(spark):
     assert {r.doc_id for r in kept.collect()} == set(range(len(texts))) - {i for i, _ in want}
 
 
+def test_a_long_document_with_many_leaks_fits_in_memory(spark):
+    rng = random.Random(19)
+    items = [" ".join(prose(rng, 30, 10**6)) for _ in range(450)]
+    text = " ".join(" ".join([*prose(rng, 18, 10**6), t]) for t in items)  # met by some 100 seeds a leak, which each kept its 21,600 words
+    d, b = documents(spark, [text, "x", text], [0, 1, 0]), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = decontaminate.leaks(d, b, decontaminate.whole_seeds).collect()
+    assert sorted((r.item_id, r.doc_id, r.n_equal, r.n_words, r.doc_start) for r in rows) == [(k, 0, 30, 30, 48 * k + 18) for k in range(450)]
+
+
 # 5: chat ---------------------------------------------------------------------
 
 
