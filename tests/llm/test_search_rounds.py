@@ -26,3 +26,16 @@ def test_more_rounds_hand_back_fewer_rows_and_find_the_same(spark, monkeypatch):
         rows = neighbours.nearest(df, lambda c: c % 20 == 0).collect()
         got.append((sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in rows), seen.value))
     assert got[0][0] == got[1][0] and got[1][1] < got[0][1]
+
+
+def test_a_nearest_list_of_fewer_entries_than_asked_for(spark, monkeypatch):
+    monkeypatch.setattr(neighbours.fit, "__defaults__", (neighbours.SAMPLE, 16, neighbours.K))  # lists of some 16 entries, 21 are asked for
+    rng = np.random.default_rng(1)
+    x = np.concatenate((np.repeat(4 * rng.standard_normal((30, 8)), 50, 0) + rng.standard_normal((1500, 8)), 30 * rng.standard_normal((40, 8))))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found: dict = {}
+    for r in neighbours.nearest(df, lambda c: c % 20 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    assert found.keys() == set(range(0, len(x), 20)) and all(len(v) == 20 for v in found.values())
+    true = {q: set(np.argsort(-(x @ x[q]) + (np.arange(len(x)) == q) * 1e9)[:20].tolist()) for q in found}
+    assert np.mean([len(found[q] & true[q]) / 20 for q in found]) > 0.85
